@@ -166,7 +166,7 @@ RETAIL_PRODUCT = {
     "price_new": ".price-new::text, .product-info .price-new::text",
     "price_old": ".price-old::text, .product-info .price-old::text",
     **{f"description_{i}": s for i, s in enumerate(RETAIL_DESCRIPTION)},
-    "description_deep": "#tab-description::deep, .tab-description::deep, .product-description::deep",
+    "description_areas": Groups("#tab-description, .tab-description, .product-description", {"texts": "*::deep"}),
     "description_raw": ".product-description::text, .description::text, #tab-description::text",
     "thumb_link": "ul.thumbnails a.thumbnail::attr(href)",
     "thumb_image": "ul.thumbnails img::attr(src)",
