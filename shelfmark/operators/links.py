@@ -93,10 +93,12 @@ def _candidates(listing: DataFrame, profile: SourceProfile) -> DataFrame:
 
     single = lambda name: t.truthy(F.get(h[name], F.lit(0)))
     parts = [F.array(entry(1, i, 0, "next", resolve(F.col("base"), single(f"next_{i}")))) for i in range(len(profile.next_link))]
-    for i in range(len(profile.numbered_link)):
+
+    def onward(i: int) -> Column:
         urls = F.transform(F.filter(h[f"numbered_{i}"], lambda u: u != ""), lambda u: resolve(F.col("base"), u))
-        onward = F.transform(urls, lambda u, at, i=i: F.when(page_number(u, profile) > F.col("here"), entry(2, i, at, "number", u)))
-        parts.append(onward)
+        return F.transform(urls, lambda u, at: F.when(page_number(u, profile) > F.col("here"), entry(2, i, at, "number", u)))
+
+    parts += [onward(i) for i in range(len(profile.numbered_link))]
     parts.append(F.array(entry(3, 0, 0, "constructed", constructed_next(F.col("url"), profile))))
     parts += [F.array(entry(4, i, 0, "load_more", resolve(F.col("base"), single(f"more_{i}")))) for i in range(len(profile.load_more))]
     usable = F.filter(F.concat(*parts), lambda c: c["next_url"].isNotNull() & (c["next_url"] != F.col("url")))

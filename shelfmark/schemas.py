@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+import re
 
 PAGES = "source string, url string, status int, html string, run_id string, run_ts timestamp, seq bigint, fetched_at timestamp"
 
@@ -35,4 +35,4 @@ CATALOG = ("id string, title string, series_name string, issue int, language str
 
 def fields(ddl: str) -> dict[str, str]:
     """Column name to type text, in order."""
-    return {f.name: f.dataType.simpleString() for f in T._parse_datatype_string(ddl).fields}
+    return dict(f.split(" ", 1) for f in re.split(r",\s+", ddl))

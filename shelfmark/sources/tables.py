@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfmark import schemas
 
@@ -23,10 +22,9 @@ def _snapshots(spark: SparkSession, root: str) -> list[int]:
 def read_table(spark: SparkSession, name: str, root: str, before: int | None = None) -> DataFrame:
     """Newest snapshot, or the newest one older than ``before``; empty when there is none."""
     ids = [i for i in _snapshots(spark, root) if before is None or i < before]
-    schema = T._parse_datatype_string(LAYOUT[name])
     if not ids:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/snapshot={ids[-1]}")
+        return spark.createDataFrame([], LAYOUT[name])
+    return spark.read.schema(LAYOUT[name]).parquet(f"{root}/snapshot={ids[-1]}")
 
 
 def write_table(df: DataFrame, name: str, root: str, load_id: int) -> None:
