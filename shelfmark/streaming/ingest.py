@@ -13,7 +13,7 @@ from shelfmark.functions.text import truthy
 from shelfmark.operators.extract import extract_comics
 from shelfmark.operators.quality import validate
 from shelfmark.operators.records import _with_series
-from shelfmark.plans.pipeline import load
+from shelfmark.plans.jobs import load
 from shelfmark.profiles import PROFILES, SourceProfile
 
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from shelfmark.operators.extract import extract_comics
+from golden import check, extract_all
 from shelfmark.profiles import PRESS
 
 URL = "https://shop.example/product/x/"
@@ -102,14 +102,9 @@ CASES = [
 
 @pytest.fixture(scope="module")
 def records(make_pages):
-    pages = make_pages([(PRESS.source, url, html) for html, url, _ in CASES])
-    return {r.seq: r.asDict() for r in extract_comics(pages, PRESS).collect()}
+    return extract_all(make_pages, PRESS, CASES)
 
 
 @pytest.mark.parametrize("i", range(len(CASES)))
 def test_case(records, i):
-    expected = CASES[i][2]
-    if expected is None:
-        assert i not in records
-        return
-    assert {k: records[i][k] for k in expected} == expected
+    check(records, CASES, i)
