@@ -16,6 +16,16 @@ _DIGITS = "".join(c for c in map(chr, range(128, min(sys.maxunicode, 0xFFFF))) i
 _DIGIT_VALUES = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
 
 
+def let(c: Column, use) -> Column:
+    """``use(c)`` with ``c`` named once, however often ``use`` mentions it; keeps plans small."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
+def keep_if(c: Column, test) -> Column:
+    """The value where ``test`` holds, otherwise NULL; names ``c`` once."""
+    return F.get(F.filter(F.array(c), test), F.lit(0))
+
+
 def truthy(c: Column) -> Column:
     """The value, or NULL where Python would call it false: '' for text."""
     return F.nullif(c, F.lit(""))
@@ -53,7 +63,8 @@ def ascii_digits(c: Column) -> Column:
 
 def to_int(c: Column) -> Column:
     """Whole number from a digit string of any script; NULL when out of BIGINT range."""
-    return F.when(c.rlike(r"^[+-]?\p{Nd}+(?:_\p{Nd}+)*\z"), ascii_digits(F.replace(c, F.lit("_"), F.lit("")))).try_cast("bigint")
+    whole = F.regexp_extract(c, r"^[+-]?\p{Nd}+(?:_\p{Nd}+)*\z", 0)
+    return ascii_digits(F.replace(whole, F.lit("_"), F.lit(""))).try_cast("bigint")
 
 
 def extract_number(c: Column) -> Column:
@@ -74,13 +85,9 @@ DATE_SHAPES = [
 
 def parse_date(c: Column) -> Column:
     """ISO date by the first shape that parses, otherwise the cleaned input unchanged."""
-    t = clean_text(c)
     # Month names parse case-insensitively, so they are brought to title case first.
-    attempts = [
-        F.date_format(F.try_to_timestamp(F.when(t.rlike(shape), F.initcap(t)), F.lit(fmt)), "yyyy-MM-dd")
-        for shape, fmt in DATE_SHAPES
-    ]
-    return F.coalesce(*attempts, t)
+    read = lambda d, shape, fmt: F.date_format(F.try_to_timestamp(F.when(d.rlike(shape), F.initcap(d)), F.lit(fmt)), "yyyy-MM-dd")
+    return let(clean_text(c), lambda d: F.coalesce(*[read(d, shape, fmt) for shape, fmt in DATE_SHAPES], d))
 
 
 def normalize_list(items: Column) -> Column:
@@ -99,7 +106,7 @@ def split_credits(c: Column) -> Column:
 
 def ist_timestamp(ts: Column) -> Column:
     """ISO-8601 text with microseconds in India Standard Time, whatever the session zone is."""
-    micros = F.unix_micros(ts)
+    micros = F.unix_micros(ts.cast("timestamp"))
     local = F.timestamp_micros(micros + F.lit(19_800_000_000))
     # Formatting goes through UTC arithmetic on the instant, so shift back the session zone's own offset.
     text = F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), local.cast("timestamp_ntz")),
@@ -152,12 +159,14 @@ def first_match_label(c: Column, rules: list[tuple[str, str]]) -> Column:
     return F.coalesce(*[F.when(found(c, pattern, True), F.lit(label)) for pattern, label in rules])
 
 
+# Language words and the names they stand for.
+LANGUAGE_WORDS = {"hindi": "Hindi", "hin": "Hindi", "हिंदी": "Hindi", "english": "English", "eng": "English"}
+
+
 def language_of(c: Column) -> Column:
     """Hindi or English by the first whole word that names one."""
-    word = F.lower(search(c, r"\b(Hindi|English|हिंदी|Eng|Hin)\b", True))
-    return (F.when(word.isin("hindi", "hin", "हिंदी"), "Hindi")
-            .when(word.isin("english", "eng"), "English")
-            .otherwise(F.initcap(word)))
+    names = F.create_map(*[F.lit(x) for kv in LANGUAGE_WORDS.items() for x in kv])
+    return F.try_element_at(names, F.lower(search(c, r"\b(Hindi|English|हिंदी|Eng|Hin)\b", True)))
 
 
 def as_json(c: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfmark.functions import text as t
+
 # RFC 3986, appendix B.
 _PARTS = r"^([a-zA-Z][a-zA-Z0-9+.-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 
@@ -26,16 +28,22 @@ def _without_dots(path: Column) -> Column:
 
 def resolve(base: Column, link: Column) -> Column:
     """``link`` as seen from the page at ``base``; same result as the standard library's urljoin."""
-    link = F.regexp_replace(F.regexp_replace(link, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
-    scheme, host, path = _part(base, 1), _part(base, 2), _part(base, 3)
-    l_path, l_query, l_frag = _part(link, 3), _part(link, 4), _part(link, 5)
-    folder = F.regexp_replace(path, r"[^/]*$", "")
-    joined = F.when(l_path.startswith("/"), l_path).otherwise(
-        F.regexp_replace(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), l_path), r"(?<=.)/{2,}", "/"))
-    plain = F.when(joined.rlike(r"(^|/)\.\.?(/|$)"), _without_dots(joined)).otherwise(joined)
-    rooted = F.when(plain.startswith("/"), plain).otherwise(F.concat(F.lit("/"), plain))
-    return (F.when(link == "", base)
-            .when(link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
-            .when(link.startswith("//"), F.concat(scheme, link))
-            .when(l_path == "", F.concat(scheme, host, path, F.when(l_query != "", l_query).otherwise(_part(base, 4)), l_frag))
-            .otherwise(F.concat(scheme, host, rooted, l_query, l_frag)))
+    given = F.regexp_replace(F.regexp_replace(link, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+    parts = t.let(given, lambda u: F.struct(
+        u.alias("link"), *[_part(u, i).alias(n) for i, n in ((3, "path"), (4, "query"), (5, "frag"))],
+        *[_part(base, i).alias(n) for i, n in ((1, "scheme"), (2, "host"), (3, "b_path"), (4, "b_query"))], base.alias("base")))
+    return t.let(parts, _joined)
+
+
+def _joined(p: Column) -> Column:
+    folder = F.regexp_replace(p["b_path"], r"[^/]*$", "")
+    path = F.when(p["path"].startswith("/"), p["path"]).otherwise(
+        F.regexp_replace(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), p["path"]), r"(?<=.)/{2,}", "/"))
+    plain = t.let(path, lambda j: F.when(j.rlike(r"(^|/)\.\.?(/|$)"), _without_dots(j)).otherwise(j))
+    rooted = F.regexp_replace(plain, "^(?!/)", "/")
+    return (F.when(p["link"] == "", p["base"])
+            .when(p["link"].rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), p["link"])
+            .when(p["link"].startswith("//"), F.concat(p["scheme"], p["link"]))
+            .when(p["path"] == "", F.concat(p["scheme"], p["host"], p["b_path"],
+                                            F.when(p["query"] != "", p["query"]).otherwise(p["b_query"]), p["frag"]))
+            .otherwise(F.concat(p["scheme"], p["host"], rooted, p["query"], p["frag"])))

@@ -271,7 +271,7 @@ def image_rules(spark, sf_dir):
 @query(f"""
 WITH d AS (SELECT p_partkey, {title_case('p_name')} AS name, p_size, p_type FROM part)
 SELECT p_partkey, name AS series_press, p_size::bigint AS issue_press, name AS series_studio, p_size::bigint AS issue_studio,
-       CASE WHEN p_type = 'PROMO' THEN name || ' Hindi Edition' ELSE name END AS series_retail, p_size::bigint AS issue_retail,
+       CASE WHEN p_type = 'PROMO' THEN name || ' Edition' ELSE name END AS series_retail, p_size::bigint AS issue_retail,
        CASE p_type WHEN 'PROMO' THEN 'Hindi' WHEN 'SMALL' THEN 'English' END AS language,
        CASE p_type WHEN 'LARGE' THEN 'Hardcover' WHEN 'ECONOMY' THEN 'Paperback' END AS binding FROM d""")
 def title_parse(spark, sf_dir):
@@ -344,8 +344,8 @@ def order_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SIGHTINGS = """
 WITH s AS (SELECT 'u' || o_custkey AS url, o_orderstatus AS title, CAST(round(o_totalprice / 50000) AS decimal(10,2)) AS price,
-                  o_orderpriority AS description, o_orderdate AS at, o_orderkey AS seq FROM orders),
-k AS (SELECT url, title, price, arg_min(description, row(at, seq)) AS description, min(at) AS created_at, max(at) AS updated_at FROM s GROUP BY ALL)
+                  o_orderpriority AS description, o_orderdate AS seen_at, o_orderkey AS seq FROM orders),
+k AS (SELECT url, title, price, arg_min(description, row(seen_at, seq)) AS description, min(seen_at) AS created_at, max(seen_at) AS updated_at FROM s GROUP BY ALL)
 """
 CATALOG_COLUMNS = ["url", "title", "price", "description", "created_at", "updated_at"]
 
@@ -370,11 +370,11 @@ def price_history(spark, sf_dir):
 
 
 @query("""
-WITH w AS (SELECT 'C_' || o_custkey AS source, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS description, o_orderdate AS at, o_orderkey AS seq
+WITH w AS (SELECT 'C_' || o_custkey AS source, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS description, o_orderdate AS seen_at, o_orderkey AS seq
            FROM orders WHERE o_orderstatus IN ('F', 'P')),
 e AS (SELECT 'C_' || c_custkey AS source FROM customer)
-SELECT e.source, arg_max(coalesce(description, '-'), row(at, seq)) FILTER (w.seq IS NOT NULL) AS description,
-       least(TIMESTAMP '1999-01-01', min(at)) AS created_at, coalesce(max(at), TIMESTAMP '1999-01-01') AS updated_at
+SELECT e.source, arg_max(coalesce(description, '-'), row(seen_at, seq)) FILTER (w.seq IS NOT NULL) AS description,
+       least(TIMESTAMP '1999-01-01', min(seen_at)) AS created_at, coalesce(max(seen_at), TIMESTAMP '1999-01-01') AS updated_at
 FROM e LEFT JOIN w USING (source) GROUP BY e.source""")
 def last_write_wins(spark, sf_dir):
     day = F.col("o_orderdate")
@@ -593,9 +593,10 @@ def series_distinct(spark, sf_dir):
 @query(PRODUCTS + """
 SELECT 'https://press.example/product/' || slug || '-' || p_size || '/' AS url, concat_ws(' ', name, 'Issue ' || p_size, lang, form) AS title,
        CAST(p_retailprice AS decimal(10,2))::double AS price, 'BULLSEYE_PRESS' AS source, arg_min(p_size, p_partkey)::int AS issue,
-       arg_min(p_partkey, p_partkey) AS first_seq, count(*) AS sightings FROM p GROUP BY ALL""")
+       arg_min(p_partkey, p_partkey) AS first_seq, count(*) AS sightings
+FROM p WHERE brand_no::int BETWEEN 1 AND 12 GROUP BY ALL""")
 def catalog_load(spark, sf_dir):
-    """Comic records cast to the catalog's types and reduced to one row per key."""
+    """Comic records cast to the catalog's types, one row per key; an impossible listing month is refused."""
     items = extract_comics(S.press_pages(spark, sf_dir), PRESS)
     rows = M.catalog_rows(items, F.expr(S.RUN_TS)).select(*M.CATALOG_KEY, "issue", "seq")
     return (rows.groupBy(*M.CATALOG_KEY).agg(F.min_by("issue", "seq").alias("issue"), F.min("seq").alias("first_seq"), F.count("*").alias("sightings"))

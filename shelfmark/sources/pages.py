@@ -20,6 +20,7 @@ def write_pages(pages: DataFrame, path: str, mode: str = "append") -> None:
 def as_pages(rows: DataFrame, source: str, run_ts: Column, url: Column, html: Column, seq: Column,
              run_id: Column | None = None, status: Column | None = None) -> DataFrame:
     """Any table with page text in the shape of ``pages``."""
+    run_ts = run_ts.cast("timestamp")
     return rows.select(F.lit(source).alias("source"), url.alias("url"),
                        (status if status is not None else F.lit(200)).cast("int").alias("status"), html.alias("html"),
                        (run_id if run_id is not None else F.date_format(run_ts, "yyyyMMdd")).alias("run_id"),
