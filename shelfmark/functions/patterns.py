@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import re
 
-SPACE = r"\t\n\x0B\f\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+# Inside (?U) the shorthand \\s is one property test; the information separators are white space to Python only.
+SPACE = r"\s\x1C-\x1F"
 WORD = r"\p{L}\p{N}_"
 _EDGE = f"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
+_START = f"(?<![{WORD}])"  # what \\b means ahead of a letter or digit
 
 _OUTSIDE = {"s": f"[{SPACE}]", "S": f"[^{SPACE}]", "d": r"\p{Nd}", "w": f"[{WORD}]", "b": _EDGE}
 _INSIDE = {"s": SPACE, "d": r"\p{Nd}", "w": WORD}
@@ -21,6 +23,11 @@ _TOKEN = re.compile(r"\\(.)|(\[)|(\])", re.S)
 def java(pattern: str, ignore_case: bool = False) -> str:
     """Render a Python-dialect pattern for Java, with ``.`` and ``$`` tied to ``\\n`` only."""
     in_class = False
+    head = ""
+    if pattern.startswith(r"\b"):
+        # Every rule that opens with \\b goes on with a letter or digit; for digits, test the cheap part first.
+        head = (r"(?=\p{Nd})" if pattern.startswith((r"\b(\d", r"\b\d")) else "") + _START
+        pattern = pattern[2:]
 
     def swap(m: re.Match) -> str:
         nonlocal in_class
@@ -32,4 +39,4 @@ def java(pattern: str, ignore_case: bool = False) -> str:
             return (_INSIDE if in_class else _OUTSIDE).get(m.group(1), m.group(0))
         return m.group(0)
 
-    return ("(?diu)" if ignore_case else "(?d)") + _TOKEN.sub(swap, pattern)
+    return ("(?idU)" if ignore_case else "(?dU)") + head + _TOKEN.sub(swap, pattern)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,12 +36,13 @@ def nonzero(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^[{SPACE}]+|[{SPACE}]+\\z", "")
+    return F.regexp_replace(c, f"(?U)^[{SPACE}]+|(?<![{SPACE}])[{SPACE}]+\\z", "")
 
 
 def clean_text(c: Column) -> Column:
     """Trim, collapse any Unicode whitespace to one space, empty becomes NULL."""
-    return truthy(F.trim(F.regexp_replace(c, f"[{SPACE}]+", " ")))
+    # Lone spaces, by far the most common gap, are no match and stay as they are.
+    return truthy(F.trim(F.regexp_replace(c, f"(?U) [{SPACE}]+|[{SPACE}&&[^ ]][{SPACE}]*", " ")))
 
 
 def search(c: Column, pattern: str, ignore_case: bool = False, group: int = 1) -> Column:
@@ -146,7 +147,7 @@ def slug_person(url: Column) -> Column:
 
 def contains_any(c: Column, needles: list[str]) -> Column:
     """True when any needle is a substring; false for NULL."""
-    return F.coalesce(reduce(lambda a, b: a | b, [c.contains(n) for n in needles]), F.lit(False))
+    return F.coalesce(c.rlike("|".join(re.escape(n) for n in needles)), F.lit(False))
 
 
 def first_label(c: Column, rules: list[tuple[list[str], str]]) -> Column:
@@ -175,7 +176,7 @@ def as_json(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """Split on runs of whitespace, as Python's bare ``split`` does; no empty members."""
-    return F.filter(F.split(c, f"[{SPACE}]+"), lambda w: w != "")
+    return F.filter(F.split(c, f"(?U)[{SPACE}]+"), lambda w: w != "")
 
 
 def url_host(c: Column) -> Column:
@@ -185,4 +186,4 @@ def url_host(c: Column) -> Column:
 def in_domains(url: Column, domains: list[str]) -> Column:
     """Host equals one of the domains or lies under it."""
     host = F.lower(F.regexp_replace(F.regexp_replace(url_host(url), r"^.*@", ""), r":\d+$", ""))
-    return F.coalesce(reduce(lambda a, b: a | b, [(host == d) | host.endswith("." + d) for d in domains]), F.lit(False))
+    return F.coalesce(host.rlike(r"(^|\.)(" + "|".join(re.escape(d) for d in domains) + r")\z"), F.lit(False))

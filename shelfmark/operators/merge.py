@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfmark import schemas
 from shelfmark.functions import text as t
-from shelfmark.operators.quality import first_per, is_comic, is_publisher, load_reject
+from shelfmark.operators.quality import is_comic, is_publisher, load_reject
 from shelfmark.profiles import DISPLAY_NAMES
 
 CATALOG_KEY = ["url", "title", "price", "source"]
@@ -41,10 +41,13 @@ def catalog_rows(items: DataFrame, load_ts: Column) -> DataFrame:
 
 
 def first_write_wins(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Full recompute over all sightings: earliest row per key, with the time of the last one."""
-    last = rows.groupBy(*keys).agg(F.max("updated_at").alias("last_seen"))
-    kept = first_per(rows, keys, [F.col(o) for o in order])
-    return kept.join(last, keys).withColumn("updated_at", F.col("last_seen")).drop("last_seen", "seq")
+    """Earliest row per key with the time of the last sighting; ``seq`` only orders and is dropped.
+
+    Both parts combine before the shuffle, so a key seen very often costs one row per task.
+    """
+    kept = [c for c in rows.columns if c not in [*keys, "seq", "updated_at"]]
+    merged = rows.groupBy(*keys).agg(F.min_by(F.struct(*kept), F.struct(*order)).alias("first"), F.max("updated_at").alias("updated_at"))
+    return merged.select(*[F.col(f"first.{c}").alias(c) if c in kept else F.col(c) for c in rows.columns if c != "seq"])
 
 
 def merge_catalog(catalog: DataFrame, batch: DataFrame) -> DataFrame:
@@ -53,12 +56,11 @@ def merge_catalog(catalog: DataFrame, batch: DataFrame) -> DataFrame:
     The batch is reduced to one row per key first.  The catalog itself is only joined with the batch's keys, on its
     right side, so when those are small the engine broadcasts them by their measured size and no catalog row moves.
     """
-    new = first_per(batch, CATALOG_KEY, [F.col("created_at"), F.col("seq")]).drop("seq")
-    touched = batch.groupBy(*CATALOG_KEY).agg(F.max("updated_at").alias("seen_at"))
+    new = first_write_wins(batch, CATALOG_KEY, ["created_at", "seq"])
+    touched = new.select(*CATALOG_KEY, F.col("updated_at").alias("seen_at"))
     known = catalog.select(*CATALOG_KEY).join(touched.select(*CATALOG_KEY), CATALOG_KEY, "left_semi")
-    refreshed = catalog.join(touched, CATALOG_KEY, "left").withColumn(
-        "updated_at", F.greatest("updated_at", "seen_at")).select(*catalog.columns)
-    return refreshed.unionByName(new.join(known, CATALOG_KEY, "left_anti").select(*catalog.columns))
+    refreshed = catalog.join(touched, CATALOG_KEY, "left").withColumn("updated_at", F.greatest("updated_at", "seen_at"))
+    return refreshed.select(*catalog.columns).unionByName(new.join(known, CATALOG_KEY, "left_anti").select(*catalog.columns))
 
 
 def source_rows(items: DataFrame, load_ts: Column, runs: DataFrame | None = None) -> DataFrame:

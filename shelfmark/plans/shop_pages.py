@@ -39,7 +39,13 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lang": F.when(F.col("p_type") == "PROMO", "Hindi").when(F.col("p_type") == "SMALL", "English"),
         "form": F.when(F.col("p_type") == "LARGE", "Hardcover").when(F.col("p_type") == "ECONOMY", "Paper Back"),
         "brand_no": F.regexp_extract("p_brand", r"\d+", 0)})
-    return part.join(read(spark, sf_dir, "documents").select(F.col("doc_id").alias("p_partkey"), "text"), "p_partkey", "left")
+    stories = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("p_partkey"), "text")
+    # Parsing costs far more than the bytes suggest, so every core gets a share even of a small table.
+    return part.join(stories, "p_partkey", "left").repartition(shares(spark), "p_partkey")
+
+
+def shares(spark: SparkSession) -> int:
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 PRESS_HTML = """<html><head><title>{title}</title></head><body><h1 class="product_title entry-title"> {title}

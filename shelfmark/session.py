@@ -8,10 +8,14 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.files.maxPartitionBytes": "32m",  # parsing a page costs far more than reading it
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Settings a session takes only when it starts.
+AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}  # no call-site capture per expression
+
 
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
@@ -21,6 +25,6 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def get_session(app: str = "shelfmark", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
-    for key, value in (SETTINGS | conf).items():
+    for key, value in (SETTINGS | AT_START | conf).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
