@@ -11,8 +11,9 @@ from shelfmark.functions import text as t
 _PARTS = r"^([a-zA-Z][a-zA-Z0-9+.-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 
 
-def _part(url: Column, i: int) -> Column:
-    return F.regexp_extract(url, _PARTS, i)
+def _parts(url: Column) -> Column:
+    """[scheme, host, path, query, fragment], each with its own punctuation, '' where absent."""
+    return F.split(F.regexp_replace(url, _PARTS, "$1\x00$2\x00$3\x00$4\x00$5"), "\x00", 5)
 
 
 def _without_dots(path: Column) -> Column:
@@ -28,22 +29,23 @@ def _without_dots(path: Column) -> Column:
 
 def resolve(base: Column, link: Column) -> Column:
     """``link`` as seen from the page at ``base``; same result as the standard library's urljoin."""
-    given = F.regexp_replace(F.regexp_replace(link, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
-    parts = t.let(given, lambda u: F.struct(
-        u.alias("link"), *[_part(u, i).alias(n) for i, n in ((3, "path"), (4, "query"), (5, "frag"))],
-        *[_part(base, i).alias(n) for i, n in ((1, "scheme"), (2, "host"), (3, "b_path"), (4, "b_query"))], base.alias("base")))
-    return t.let(parts, _joined)
+    given = F.regexp_replace(link, r"^[\x00-\x20]+|[\t\r\n]", "")
+    parts = t.let(given, lambda u: F.struct(u.alias("link"), base.alias("base"), _parts(u).alias("l"), _parts(base).alias("b")))
+    # The two shapes nearly all links have need no taking apart.
+    return (F.when(link.isNull(), link).when(link.rlike(r"^https?://[^\t\r\n]*\z"), link)
+            .when(link.rlike(r"^(?!//|[^?#]*/\.)/[^\t\r\n]*\z"), F.concat(F.regexp_extract(base, r"^[^:/?#]+://[^/?#]*", 0), link))
+            .otherwise(t.let(parts, _joined)))
 
 
 def _joined(p: Column) -> Column:
-    folder = F.regexp_replace(p["b_path"], r"[^/]*$", "")
-    path = F.when(p["path"].startswith("/"), p["path"]).otherwise(
-        F.regexp_replace(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), p["path"]), r"(?<=.)/{2,}", "/"))
-    plain = t.let(path, lambda j: F.when(j.rlike(r"(^|/)\.\.?(/|$)"), _without_dots(j)).otherwise(j))
+    link, scheme, host, path = p["link"], p["b"][0], p["b"][1], p["l"][2]
+    folder = F.regexp_replace(p["b"][2], r"[^/]*$", "")
+    full = F.when(path.startswith("/"), path).otherwise(
+        F.regexp_replace(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path), r"(?<=.)/{2,}", "/"))
+    plain = t.let(full, lambda j: F.when(j.rlike(r"(^|/)\.\.?(/|$)"), _without_dots(j)).otherwise(j))
     rooted = F.regexp_replace(plain, "^(?!/)", "/")
-    return (F.when(p["link"] == "", p["base"])
-            .when(p["link"].rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), p["link"])
-            .when(p["link"].startswith("//"), F.concat(p["scheme"], p["link"]))
-            .when(p["path"] == "", F.concat(p["scheme"], p["host"], p["b_path"],
-                                            F.when(p["query"] != "", p["query"]).otherwise(p["b_query"]), p["frag"]))
-            .otherwise(F.concat(p["scheme"], p["host"], rooted, p["query"], p["frag"])))
+    return (F.when(link == "", p["base"])
+            .when(p["l"][0] != "", link)
+            .when(p["l"][1] != "", F.concat(scheme, link))
+            .when(path == "", F.concat(scheme, host, p["b"][2], F.when(p["l"][3] != "", p["l"][3]).otherwise(p["b"][3]), p["l"][4]))
+            .otherwise(F.concat(scheme, host, rooted, p["l"][3], p["l"][4])))

@@ -180,16 +180,15 @@ class Compound:
             else:
                 self.tag = tag
 
-    def candidates(self, page):
+    def key(self):
+        """Where the page's index lists the elements this can match; None when it could be any."""
         if self.id:
-            return page.index.get(("id", self.id), ())
+            return ("id", self.id)
         if self.classes:
-            return page.index.get(("class", self.classes[0]), ())
+            return ("class", self.classes[0])
         if self.tag:
-            return page.index.get(("tag", self.tag), ())
-        if self.tests:
-            return page.index.get(("attr", self.tests[0][0]), ())
-        return [i for i, t in enumerate(page.tag) if t]
+            return ("tag", self.tag)
+        return ("attr", self.tests[0][0]) if self.tests else None
 
     def matches(self, page, i):
         attrs = page.attrs[i]
@@ -237,10 +236,14 @@ class Path:
                 continue
             self.steps.append(Compound(part, before if adjacent else None))
             adjacent = False
+        self.keys = [k for k in (s.key() for s in self.steps) if k]
+        self.key = self.steps[-1].key()
 
     def elements(self, page, root):
+        if not all(k in page.index for k in self.keys):
+            return ()
         last, outer = self.steps[-1], self.steps[:-1]
-        found = last.candidates(page)
+        found = page.index[self.key] if self.key else [i for i, t in enumerate(page.tag) if t]
         if root >= 0:
             found = found[bisect_left(found, root):bisect_right(found, page.end[root])]
         return [i for i in found if last.matches(page, i) and self._inside(page, i, outer, root)]

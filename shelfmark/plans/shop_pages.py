@@ -107,7 +107,7 @@ href="/product/customer-{cust}/">c</a><li class="product"><a href='{second}'>o</
 
 def listing_pages(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """One listing page per order; a run per order month.  A page links its customer, and some link their own number."""
-    o = read(spark, sf_dir, "orders")
+    o = read(spark, sf_dir, "orders").repartition(shares(spark), "o_orderkey")
     n, p = F.col("o_orderkey"), F.col("o_orderpriority")
     second = F.when(F.col("o_orderstatus") == "O", render("/product/order-{n}/", n=n)).otherwise(F.lit("/about/"))
     paging = (F.when(p == "1-URGENT", render('<a class="next" href="/shop/page/{n}/">next</a>', n=n + 1))
