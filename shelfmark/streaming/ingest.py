@@ -49,9 +49,14 @@ def dedupe_stream(records: DataFrame, delay: str | None = None) -> tuple[DataFra
 def merge_sink(spark: SparkSession, root: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: batch n becomes snapshot n, so a repeated batch replaces its own snapshot."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        stamp = F.lit(batch.agg(F.max("run_ts")).first()[0]).cast("timestamp")  # the load time travels with the data
-        load(batch.sparkSession, batch.withColumns({"name": F.lit(None).cast("string"), "website": F.lit(None).cast("string")}),
-             root, batch_id, stamp)
+        # Kept for the span of the batch: three reads follow, and each would parse the pages again.
+        records = batch.withColumns({c: F.lit(None).cast("string") for c in ("name", "website") if c not in batch.columns}).persist()
+        try:
+            stamp = records.agg(F.max("run_ts")).first()[0]  # the load time travels with the data
+            if stamp is not None:
+                load(batch.sparkSession, records, root, batch_id, F.lit(stamp).cast("timestamp"))
+        finally:
+            records.unpersist()
     return sink
 
 
