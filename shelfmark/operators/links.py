@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import text as t
 from shelfmark.functions.patterns import java
 from shelfmark.functions.urls import resolve
+from shelfmark.operators.quality import first_per
 from shelfmark.operators.shred import from_html
 from shelfmark.profiles import SourceProfile
 
@@ -51,8 +52,12 @@ def first_seen(links: DataFrame) -> DataFrame:
 
 
 def frontier(links: DataFrame, visited: DataFrame) -> DataFrame:
-    """Links still to fetch: not among the visited urls, each once."""
-    return links.join(visited.select(F.col("url").alias("link_url")), "link_url", "left_anti").dropDuplicates(["link_url"])
+    """Links still to fetch, each once with the page that showed it first.
+
+    Both sides are reduced to one row per url before they meet, so a link on every page costs one row per task.
+    """
+    once = first_per(links, ["link_url"], [F.col("seq"), F.col("url")])
+    return once.join(visited.select(F.col("url").alias("link_url")).distinct(), "link_url", "left_anti")
 
 
 def page_number(url: Column, profile: SourceProfile) -> Column:

@@ -89,10 +89,3 @@ def merge_sources(sources: DataFrame, batch: DataFrame) -> DataFrame:
     stored = sources.select("source", "description", "url", F.lit(1).alias("is_publisher"), F.lit(-1).cast("bigint").alias("seq"),
                             "created_at", "updated_at")
     return last_write_wins(stored.unionByName(batch))
-
-
-def price_changes(catalog: DataFrame) -> DataFrame:
-    """Each price of a product with the one before it."""
-    from pyspark.sql import Window as W
-    w = W.partitionBy("source", "url", "title").orderBy("created_at", "price")
-    return catalog.withColumn("previous_price", F.lag("price").over(w))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from shelfmark import schemas
 from shelfmark.functions import images, text as t
 from shelfmark.functions.urls import resolve
 from shelfmark.operators import links as L
@@ -329,7 +329,7 @@ def entity_classifier(spark, sf_dir):
     return parts.unionByName(suppliers, allowMissingColumns=True).select("kind", "id", Q.is_comic().alias("comic"), Q.is_publisher().alias("publisher"))
 
 
-# ---- merges and price history ---------------------------------------------------------------
+# ---- merges ---------------------------------------------------------------
 
 def order_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as catalog sightings: the same customer, status and rounded price is the same product."""
@@ -338,7 +338,6 @@ def order_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = {"title": F.col("o_orderstatus"), "url": F.concat(F.lit("u"), F.col("o_custkey").cast("string")),
             "price": F.round(F.col("o_totalprice") / 50000).cast("decimal(10,2)"), "source": F.lit("S"), "description": F.col("o_orderpriority"),
             "created_at": day, "updated_at": day}
-    from shelfmark import schemas
     return o.select(*[rows.get(c, F.lit(None)).cast(k).alias(c) for c, k in schemas.fields(schemas.CATALOG).items()], F.col("o_orderkey").alias("seq"))
 
 
@@ -363,12 +362,6 @@ def catalog_merge(spark, sf_dir):
     return M.merge_catalog(stored, rows.filter(late)).select(*CATALOG_COLUMNS)
 
 
-@query(SIGHTINGS + "SELECT url, title, price, created_at, lag(price) OVER (PARTITION BY url, title ORDER BY created_at, price) AS previous_price FROM k")
-def price_history(spark, sf_dir):
-    catalog = M.first_write_wins(order_sightings(spark, sf_dir), M.CATALOG_KEY, ["created_at", "seq"])
-    return M.price_changes(catalog).select("url", "title", "price", "created_at", "previous_price")
-
-
 @query("""
 WITH w AS (SELECT 'C_' || o_custkey AS source, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS description, o_orderdate AS seen_at, o_orderkey AS seq
            FROM orders WHERE o_orderstatus IN ('F', 'P')),

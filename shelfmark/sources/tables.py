@@ -10,7 +10,7 @@ from shelfmark import schemas
 LAYOUT = {"catalog": schemas.CATALOG, "sources": schemas.SOURCES}
 
 
-def _snapshots(spark: SparkSession, root: str) -> list[int]:
+def snapshots(spark: SparkSession, root: str) -> list[int]:
     """Ids of the complete snapshots, from the folder listing."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
@@ -21,7 +21,7 @@ def _snapshots(spark: SparkSession, root: str) -> list[int]:
 
 def read_table(spark: SparkSession, name: str, root: str, before: int | None = None) -> DataFrame:
     """Newest snapshot, or the newest one older than ``before``; empty when there is none."""
-    ids = [i for i in _snapshots(spark, root) if before is None or i < before]
+    ids = [i for i in snapshots(spark, root) if before is None or i < before]
     if not ids:
         return spark.createDataFrame([], LAYOUT[name])
     return spark.read.schema(LAYOUT[name]).parquet(f"{root}/snapshot={ids[-1]}")

@@ -11,10 +11,11 @@ from pyspark.sql.streaming import DataStreamWriter
 from shelfmark import schemas
 from shelfmark.functions.text import truthy
 from shelfmark.operators.extract import extract_comics
-from shelfmark.operators.quality import validate
+from shelfmark.operators.quality import dedupe_by_url, validate
 from shelfmark.operators.records import _with_series
 from shelfmark.plans.jobs import load
 from shelfmark.profiles import PROFILES, SourceProfile
+from shelfmark.sources.tables import snapshots
 
 
 def page_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -34,9 +35,10 @@ def record_stream(pages: DataFrame, profiles: list[SourceProfile] = PROFILES) ->
 
 
 def dedupe_stream(records: DataFrame, delay: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(records with a url, first per run and url; records without one, all of them).
+    """(records with a url, one per run and url; records without one, all of them).
 
     State is one key per url seen.  ``delay`` bounds it by ``fetched_at``: a url is forgotten that long after it was seen.
+    Of two records that reach the state in one micro-batch either may win; ``merge_sink`` decides by ``seq``.
     """
     has_url = truthy(F.col("url")).isNotNull()
     keys = ["run_id", "source", "url"]
@@ -47,16 +49,25 @@ def dedupe_stream(records: DataFrame, delay: str | None = None) -> tuple[DataFra
 
 
 def merge_sink(spark: SparkSession, root: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: batch n becomes snapshot n, so a repeated batch replaces its own snapshot."""
+    """``foreachBatch`` function: first arrivals of batch n become items n, then snapshot n of both tables.
+
+    A repeated batch replaces its own items and snapshots.  Items are written before they are merged, so pages are parsed
+    once and a lost executor costs no more than a re-read.
+    """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        # Kept for the span of the batch: three reads follow, and each would parse the pages again.
-        records = batch.withColumns({c: F.lit(None).cast("string") for c in ("name", "website") if c not in batch.columns}).persist()
-        try:
-            stamp = records.agg(F.max("run_ts")).first()[0]  # the load time travels with the data
-            if stamp is not None:
-                load(batch.sparkSession, records, root, batch_id, F.lit(stamp).cast("timestamp"))
-        finally:
-            records.unpersist()
+        session = batch.sparkSession
+        fresh = dedupe_by_url(batch, order=("seq", "ord"))
+        earlier = [f"{root}/items/snapshot={i}" for i in snapshots(session, f"{root}/items") if i < batch_id]
+        if earlier:
+            seen = session.read.schema(batch.schema).parquet(*earlier).select("run_id", "source", "url")
+            fresh = fresh.join(seen, ["run_id", "source", "url"], "left_anti")
+        here = f"{root}/items/snapshot={batch_id}"
+        fresh.select(*batch.columns).write.mode("overwrite").parquet(here)
+        records = session.read.schema(batch.schema).parquet(here)
+        stamp = records.agg(F.max("run_ts")).first()[0]  # the load time travels with the data
+        if stamp is not None:
+            named = records.withColumns({c: F.lit(None).cast("string") for c in ("name", "website") if c not in records.columns})
+            load(session, named, root, batch_id, F.lit(stamp).cast("timestamp"))
     return sink
 
 
