@@ -474,7 +474,7 @@ PRESS_SQL = PRODUCTS + rf"""
     list_filter(list_transform(list_reverse(regexp_extract_all(c, '[\p{{L}}\p{{N}}_]+')), lambda w: try_cast(nullif(regexp_extract(w, '^\d+$'), '') AS bigint)),
                 lambda n: n BETWEEN 1 AND 10000)[1] AS d3 FROM p)
 SELECT p_partkey AS seq, 'https://press.example/product/' || slug || '-' || p_size || '/' AS url,
-    concat_ws(' ', name, 'Issue ' || p_size, lang, form) AS title, name AS series, p_size::bigint AS issue, 'Bullseye Press' AS publisher,
+    concat_ws(' ', name, 'Issue ' || p_size, lang, form) AS title, name AS series, p_size::bigint AS issue, '{PRESS.name}' AS publisher,
     p_retailprice AS price, round(p_retailprice + 50, 2) AS original_price, c AS description, name || '|Co|' || p_brand AS writers,
     coalesce({told_by(rf'(?i){NW}(?:by|artist|art by|artwork by|illustrated by|drawn by)\s+')}, {told_by(r'(?i)(?:artist|artwork|illustrator)[:\s]+')}) AS artists,
     p_type AS genre, coalesce(lang, {LANGUAGE_IN % 'c'}) AS language,
@@ -562,15 +562,19 @@ def all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 ITEMS_SQL = STUDIO_SQL.replace("SELECT p_partkey AS seq, title, CASE WHEN partial", ", studio AS (SELECT p_partkey AS seq, title, CASE WHEN partial") + r""")
 , press AS (SELECT min(p_partkey) AS seq, slug, p_size FROM p GROUP BY slug, p_size)
 SELECT source, entity, seq, title, url, price FROM (
-  SELECT 'bullseye_press' AS source, 'comic' AS entity, p_partkey AS seq, concat_ws(' ', name, 'Issue ' || p.p_size, lang, form) AS title,
+  SELECT '{press}' AS source, 'comic' AS entity, p_partkey AS seq, concat_ws(' ', name, 'Issue ' || p.p_size, lang, form) AS title,
          'https://press.example/product/' || slug || '-' || p.p_size || '/' AS url, p_retailprice AS price
   FROM p WHERE p_partkey IN (SELECT seq FROM press)
-  UNION ALL SELECT 'holy_cow', 'comic', seq, title, url, price FROM studio
-  UNION ALL SELECT 'holy_cow', 'series', p_partkey, name, 'https://studio.example/product/' || slug || '-' || p_partkey || '-by-' || slug || '/', NULL FROM e WHERE partial
-  UNION ALL SELECT 'comics_adda', 'comic', p_partkey, name || ' Issue ' || p_size || coalesce(' ' || lang, '') || CASE WHEN p_type = 'MEDIUM' THEN ' (Pre Booking)' ELSE '' END,
+  UNION ALL SELECT '{studio}', 'comic', seq, title, url, price FROM studio
+  UNION ALL SELECT '{studio}', 'series', p_partkey, name, 'https://studio.example/product/' || slug || '-' || p_partkey || '-by-' || slug || '/', NULL FROM e WHERE partial
+  UNION ALL SELECT '{retail}', 'comic', p_partkey, name || ' Issue ' || p_size || coalesce(' ' || lang, '') || CASE WHEN p_type = 'MEDIUM' THEN ' (Pre Booking)' ELSE '' END,
          'https://retail.example/index.php?route=product/product&product_id=' || p_partkey, p_retailprice FROM p)"""
 
 
+for _name, _profile in (("press", PRESS), ("studio", STUDIO), ("retail", RETAIL)):
+    ITEMS_SQL = ITEMS_SQL.replace("'{" + _name + "}'", f"'{_profile.source}'")
+
+
 @query(ITEMS_SQL)
 def run_items(spark, sf_dir):
     """The whole job over three shops: extract, validate, dedupe."""
@@ -583,10 +587,10 @@ def series_distinct(spark, sf_dir):
     return distinct_series(extract_comics(S.press_pages(spark, sf_dir), PRESS)).select("title", "comics")
 
 
-@query(PRODUCTS + """
+@query(PRODUCTS + f"""
 SELECT 'https://press.example/product/' || slug || '-' || p_size || '/' AS url, concat_ws(' ', name, 'Issue ' || p_size, lang, form) AS title,
-       CAST(p_retailprice AS decimal(10,2))::double AS price, 'BULLSEYE_PRESS' AS source, arg_min(p_size, p_partkey)::int AS issue,
-       arg_min(p_partkey, p_partkey) AS first_seq, count(*) AS sightings
+       CAST(p_retailprice AS decimal(10,2))::double AS price, '{PRESS.name.upper().replace(" ", "_")}' AS source,
+       arg_min(p_size, p_partkey)::int AS issue, arg_min(p_partkey, p_partkey) AS first_seq, count(*) AS sightings
 FROM p WHERE brand_no::int BETWEEN 1 AND 12 GROUP BY ALL""")
 def catalog_load(spark, sf_dir):
     """Comic records cast to the catalog's types, one row per key; an impossible listing month is refused."""
@@ -596,8 +600,8 @@ def catalog_load(spark, sf_dir):
             .select("url", "title", F.col("price").cast("double").alias("price"), "source", "issue", "first_seq", "sightings"))
 
 
-@query("""
-SELECT strftime(o_orderdate, '%Y%m') AS run_id, 'Bullseye Press' AS name, 'https://bullseyepress.in' AS url,
+@query(f"""
+SELECT strftime(o_orderdate, '%Y%m') AS run_id, '{PRESS.name}' AS name, '{PRESS.website}' AS url,
        'Shop of ' || arg_min(o_orderstatus, o_orderkey) AS description, min(o_orderkey) AS seq
 FROM orders WHERE o_totalprice >= 1200 GROUP BY 1""")
 def publisher_records(spark, sf_dir):

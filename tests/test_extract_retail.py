@@ -39,7 +39,7 @@ CASES = [
     *[(body(extra=extra), URL, dict(publisher=publisher)) for extra, publisher in [
         ('<a href="/index.php?route=product/manufacturer/info">Raj Comics</a>', "Raj Comics"),
         ('<span>Brand:</span> <a href="/x">Yali Dreams</a>', "Yali Dreams"),
-        ('<a href="/brand/1">ComicsAdda</a><div class="brand">Diamond</div>', "Diamond"),
+        (f'<a href="/brand/1">{RETAIL.name}</a><div class="brand">Diamond</div>', "Diamond"),
         ('<a href="/brand/1">Brands</a>', "Unknown"),
         ("<table><tr><td>Brand</td><td><a>Tinkle</a></td></tr></table>", "Tinkle"),
         (attrs(("Size", "A4"), ("Publisher", "Fenil")), "Fenil"),
