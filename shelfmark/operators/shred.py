@@ -60,6 +60,7 @@ class Page:
         self.last_child: dict[int, int] = {}
         self.texts: list[int] = []
         self.index: dict[tuple[str, str], list[int]] = {}
+        self.classes: dict[int, frozenset[str]] = {}
         self._read(html)
 
     def _add(self, tag, parent, attrs, value, start):
@@ -80,8 +81,10 @@ class Page:
                 self._note("attr", name, i)
             if "id" in attrs:
                 self._note("id", attrs["id"], i)
-            for c in set(attrs.get("class", "").split()):
-                self._note("class", c, i)
+            if "class" in attrs:
+                self.classes[i] = frozenset(attrs["class"].split())
+                for c in self.classes[i]:
+                    self._note("class", c, i)
         else:
             self.texts.append(i)
         return i
@@ -194,7 +197,7 @@ class Compound:
         attrs = page.attrs[i]
         if self.tag and page.tag[i] != self.tag or self.id and attrs.get("id") != self.id:
             return False
-        if self.classes and not set(self.classes) <= set(attrs.get("class", "").split()):
+        if self.classes and not page.classes.get(i, frozenset()).issuperset(self.classes):
             return False
         for name, op, val in self.tests:
             have = attrs.get(name)
@@ -243,7 +246,11 @@ class Path:
         if not all(k in page.index for k in self.keys):
             return ()
         last, outer = self.steps[-1], self.steps[:-1]
-        found = page.index[self.key] if self.key else [i for i, t in enumerate(page.tag) if t]
+        if self.key:
+            found = page.index[self.key]
+        else:  # any element: only those inside the step before, when that one is narrower
+            inside = [range(i + 1, page.end[i] + 1) for i in page.index[outer[-1].key()]] if outer and outer[-1].key() else [range(len(page.tag))]
+            found = sorted({i for r in inside for i in r if page.tag[i]})
         if root >= 0:
             found = found[bisect_left(found, root):bisect_right(found, page.end[root])]
         return [i for i in found if last.matches(page, i) and self._inside(page, i, outer, root)]
