@@ -41,3 +41,28 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfmark.llm.token_counts import token_counts
 
     return token_counts(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), limit=2048)
+
+
+@query("""
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""")
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.exact_dedup import exact_dedup
+
+    return exact_dedup(documents(spark, sf_dir))
+
+
+@query(r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS gram FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS k FROM b WHERE len(w) > 0)),
+dw AS (SELECT rid, k, n, array_to_string(w[k:k + n - 1], ' ') AS gram FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+hits AS (SELECT rid, k, dw.n, item_id FROM dw JOIN bw USING (gram, n)),
+h AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(k, k + n)) AS p FROM hits) GROUP BY rid),
+i AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM hits) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (rid) LEFT JOIN i USING (rid)""")
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.decontaminate import digest, leaks
+
+    return digest(leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), width=10))
