@@ -66,3 +66,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfmark.llm.decontaminate import digest, leaks
 
     return digest(leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), width=10))
+
+
+@query()
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.secret_scan import digest, scan
+
+    return digest(scan(documents(spark, sf_dir), new_path(spark, "secret-ledger")))
