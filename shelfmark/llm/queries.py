@@ -73,3 +73,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfmark.llm.secret_scan import digest, scan
 
     return digest(scan(documents(spark, sf_dir), new_path(spark, "secret-ledger")))
+
+
+@query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.toxicity import scores, train
+
+    docs = documents(spark, sf_dir)
+    return scores(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
