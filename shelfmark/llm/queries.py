@@ -81,3 +81,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = documents(spark, sf_dir)
     return scores(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+@query()
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.minhash import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir), percent=85)
