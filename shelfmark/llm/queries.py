@@ -88,3 +88,10 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfmark.llm.minhash import near_duplicates
 
     return near_duplicates(documents(spark, sf_dir), percent=85)
+
+
+@query()
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.packing import packed
+
+    return packed(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), length=2048, end_id=1, kind="digest")
