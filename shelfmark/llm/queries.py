@@ -95,3 +95,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfmark.llm.packing import packed
 
     return packed(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), length=2048, end_id=1, kind="digest")
+
+
+@query()
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(documents(spark, sf_dir), length=50)
