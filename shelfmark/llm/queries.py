@@ -102,3 +102,27 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfmark.llm.suffix_dedup import remove_repeats
 
     return remove_repeats(documents(spark, sf_dir), length=50)
+
+
+@query("""
+WITH l AS (SELECT doc_id, i AS pos, trim(ls[i], ' ') AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
+c AS (SELECT *, len(string_split(line, ' ')) AS n FROM l WHERE line <> '' AND len(string_split(line, ' ')) >= 3),
+f AS (SELECT line, n, min((doc_id, pos)) AS first FROM c GROUP BY line, n),
+g AS (SELECT line, n, first, string_split(line, ' ') AS w FROM f WHERE n >= 8),
+k AS (SELECT line, n, first, j, array_to_string(list_concat(w[1:j - 1], w[j + 1:]), ' ') AS k FROM (SELECT *, unnest(range(1, n + 1)) AS j FROM g)),
+near AS (SELECT a.line FROM k a JOIN k b ON a.k = b.k AND a.n = b.n AND a.j = b.j WHERE b.first < a.first
+         UNION SELECT a.line FROM k a JOIN g b ON a.k = b.line WHERE b.first < a.first
+         UNION SELECT b.line FROM k a JOIN g b ON a.k = b.line WHERE a.first < b.first),
+r AS (SELECT DISTINCT doc_id, pos FROM c JOIN f USING (line, n) WHERE (doc_id, pos) > first OR line IN (SELECT line FROM near)),
+t AS (SELECT l.doc_id, count(r.pos) AS n_removed, count(*) AS n_lines, max(CASE WHEN r.pos IS NULL AND line <> '' THEN 1 ELSE 0 END) AS has_rest FROM l LEFT JOIN r ON l.doc_id = r.doc_id AND l.pos = r.pos GROUP BY l.doc_id),
+x AS (SELECT d.doc_id, string_agg(raw, chr(10) ORDER BY i) AS kept FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents) d LEFT JOIN r ON d.doc_id = r.doc_id AND d.i = r.pos WHERE r.pos IS NULL GROUP BY d.doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(t.n_removed, 0)::BIGINT AS n_removed,
+       sha256(CASE WHEN coalesce(t.n_removed, 0) = 0 THEN coalesce(text, '') WHEN has_rest = 0 THEN '' ELSE kept END) AS kept_sha256
+FROM documents d LEFT JOIN t USING (doc_id) LEFT JOIN x USING (doc_id)""")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from shelfmark.llm.line_dedup import dedup_lines
+
+    done = dedup_lines(documents(spark, sf_dir))
+    return done.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
