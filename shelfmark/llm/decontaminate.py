@@ -84,9 +84,7 @@ def _scan(windows: WindowSet, texts: pa.Array):
                 continue
             mine = hit[upto[d]:upto[d + 1]]
             s, e, base = starts[upto[d]:upto[d + 1]], ends[upto[d]:upto[d + 1]], int(offs[i + d] - offs[i])
-            first = np.flatnonzero(mine & ~np.append(False, mine[:-1]))
-            last = np.flatnonzero(mine & ~np.append(mine[1:], False))
-            spans = [(int(s[a]) - base, int(e[b]) - base) for a, b in zip(first, last, strict=True)]
+            spans = [(a - base, b - base) for a, b in _runs(mine, s, e)]
             yield len(mine), spans, int(mine.sum()), sorted(windows.items[x] for x in items[d])
 
 
@@ -127,17 +125,20 @@ def _by_words(df: DataFrame, widths: list[int] | None, width: int, key: list[str
 
 
 def _joined(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
-    """leaks() without a broadcast: both sides' windows meet by their words."""
+    """d, g (document and hash of its text), items, places: the hits without a broadcast, both sides' windows meeting by their words."""
     known = _by_words(items, None, width, ["item_id"]).select("item_id", "n", "gram").distinct()
     widths = [r.n for r in known.select("n").distinct().collect()]  # at most `width` numbers
-    keyed = docs.withColumn("h", F.xxhash64("text"))
-    hits = _by_words(keyed, widths, width, ["doc_id", "h"]).join(known, ["n", "gram"])
-    hits = hits.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("item_id")).alias("items"),
-                                           F.collect_set(F.struct("at", "n")).alias("places"))
+    hits = _by_words(docs.withColumn("h", F.xxhash64("text")), widths, width, ["doc_id", "h"]).join(known, ["n", "gram"])
+    return hits.groupBy(F.col("doc_id").alias("d"), F.col("h").alias("g")).agg(
+        F.array_sort(F.collect_set("item_id")).alias("items"), F.collect_set(F.struct("at", "n")).alias("places"))
+
+
+def _joined_leaks(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
+    hits = _joined(docs, items, width)
     n_words = F.size(F.filter(F.split(F.lower(F.col("text")), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")).cast("long")
     places = F.flatten(F.transform("places", lambda p: F.sequence(p["at"], p["at"] + p["n"] - 1)))
-    hits = hits.select(F.col("doc_id").alias("d"), F.col("h").alias("g"), "items", F.size(F.array_distinct(places)).cast("long").alias("n_hit"))
-    left = keyed.select("doc_id", "h", n_words.alias("n_words"))
+    hits = hits.select("d", "g", "items", F.size(F.array_distinct(places)).cast("long").alias("n_hit"))
+    left = docs.select("doc_id", F.xxhash64("text").alias("h"), n_words.alias("n_words"))
     return left.join(hits, left.doc_id.eqNullSafe(hits.d) & (left.h == hits.g), "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
@@ -146,7 +147,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = 10, most_bytes: in
     """doc_id, n_words, n_hit (words inside an occurrence), items (sorted ids as strings) of every row.  No shuffle of the documents."""
     docs, items = id_text(docs), _items(benchmark)
     if not _fits(items, most_bytes):
-        return _joined(docs, items, width)
+        return _joined_leaks(docs, items, width)
     shared = _windows(items, width)
 
     def run(batches):
@@ -171,23 +172,55 @@ def _cut(text: bytes, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, text[at:]]).decode()
 
 
-def remove_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 10, whole: bool = False, text: str = "text", most_bytes: int = MOST_BYTES) -> DataFrame:
-    """docs with the hit words cut out, from the first to the last of each run; documents of which no words are left go.
-    With whole=True every contaminated document goes instead.  All columns stay, a null text stays null."""
+def _runs(hit: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+    """Byte spans of the runs of hit words."""
+    first = np.flatnonzero(hit & ~np.append(False, hit[:-1]))
+    last = np.flatnonzero(hit & ~np.append(hit[1:], False))
+    return [(int(starts[a]), int(ends[b])) for a, b in zip(first, last, strict=True)]
+
+
+def _cut_places(text: str, schema):
+    """As remove_leaks, for rows that carry the places of their hits."""
+    def run(batches):
+        for batch in batches:
+            texts, places = batch.column(text), batch.column("__places").to_pylist()
+            new, keep = texts.to_pylist(), []
+            for i, found in enumerate(places):
+                if not found:
+                    keep.append(True)
+                    continue
+                raw = new[i].encode()
+                data = LOWER[np.frombuffer(raw, np.uint8)]
+                starts, ends, _, _ = words(data, np.array([0, len(data)]), ALNUM)
+                hit = np.zeros(len(starts), bool)
+                for p in found:
+                    hit[p["at"]:p["at"] + p["n"]] = True
+                new[i] = _cut(raw, _runs(hit, starts, ends))
+                keep.append(not hit.all())
+            out = batch.set_column(batch.schema.get_field_index(text), text, pa.array(new, texts.type)).select(schema)
+            yield out.filter(pa.array(keep, pa.bool_()))
+    return run
+
+
+def remove_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 10, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """docs (doc_id, text and any other columns) with the hit words cut out, from the first to the last of each run; documents of which no words
+    are left go.  A null text stays null."""
     items = _items(benchmark)
     if not _fits(items, most_bytes):
-        raise ValueError("the benchmark is over most_bytes: use leaks() and join its result")
+        hits = _joined(id_text(docs), items, width).select("d", "g", F.col("places").alias("__places"))
+        keyed = docs.withColumn("__h", F.xxhash64(F.coalesce("text", F.lit(""))))
+        both = keyed.join(hits, F.col("doc_id").cast("long").eqNullSafe(F.col("d")) & (F.col("__h") == F.col("g")), "left").select(*docs.columns, "__places")
+        return both.mapInArrow(_cut_places("text", docs.columns), docs.schema)
     shared = _windows(items, width)
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(text)
+            texts = batch.column("text")
             new, keep = texts.to_pylist(), []
             for i, (n, spans, hit, _) in enumerate(_scan(shared.value, texts)):
                 if hit:
                     new[i] = _cut(new[i].encode(), spans)
-                keep.append(not hit or (not whole and hit < n))
-            out = batch.set_column(batch.schema.get_field_index(text), text, pa.array(new, texts.type))
+                keep.append(hit < n or not hit)
+            out = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(new, texts.type))
             yield out.filter(pa.array(keep, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
-

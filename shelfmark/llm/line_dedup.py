@@ -105,15 +105,15 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: i
     return gone.groupBy("id", "h").agg(F.collect_set("pos").alias("places"))  # at most a document's lines
 
 
-def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """docs with the lines cut out of text; adds n_lines and n_removed."""
-    clash = {"n_lines", "n_removed"} & set(docs.columns)
+def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: int = NEAR_WORDS, counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """docs with the lines cut out of text, and two more columns (a column of such a name is replaced): lines before, and lines removed."""
+    docs = docs.drop(*counts)
     gone = removed_lines(docs, least_words, near_words).select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("places").alias("__places"))
-    keep = docs.drop(*clash).withColumn("__doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumn("__hash", F.xxhash64("text"))
-    out = keep.join(gone, (F.col("__doc") == F.col("__id")) & (F.col("__hash") == F.col("__h")), "left")
+    mine = (F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST)) == F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__h"))
     left = F.filter(_lines("text"), lambda x, i: ~F.array_contains("__places", i))
     left = F.when(F.exists(left, lambda x: F.trim(x) != ""), F.array_join(left, "\n")).otherwise(F.lit(""))
-    lost = F.coalesce(F.size("__places"), F.lit(0)).cast("long")
-    lost = F.when(F.col("__places").isNull(), F.lit(0).cast("long")).otherwise(lost)
-    return out.withColumns({"n_lines": F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(_lines("text"))).cast("long"), "n_removed": lost,
-                            "text": F.when(F.col("__places").isNull(), F.col("text")).otherwise(left)}).select(*keep.columns[:-2], "n_lines", "n_removed")
+    hit = F.col("__places").isNotNull()
+    return docs.join(gone, mine, "left").select(
+        *[F.when(hit, left).otherwise(F.col("text")).alias("text") if c == "text" else F.col(c) for c in docs.columns],
+        F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(_lines("text"))).cast("long").alias(counts[0]),
+        F.when(hit, F.size("__places")).otherwise(F.lit(0)).cast("long").alias(counts[1]))
