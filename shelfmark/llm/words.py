@@ -33,6 +33,8 @@ def words(data: np.ndarray, offs: np.ndarray, letters: np.ndarray) -> tuple[np.n
     """Starts, ends and hashes of all words, and the first word of each document (n + 1 numbers).  data is lower-cased already."""
     starts, ends, hashes, at = [], [], [], 0
     for part, bounds, _ in slices(data, offs):
+        if not len(part):
+            continue
         inside = letters[part]
         edge = np.append(inside, False)
         before = np.append(False, inside)
