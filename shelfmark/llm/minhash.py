@@ -171,6 +171,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, miss: float = 1e-9) -> D
     signed = written(docs.mapInArrow(_signed, "doc_id long, n_shingles long, set_low long, set_high long, sig binary"), "minhash-signatures")
     same = ["n_shingles", "set_low", "set_high"]
     classes = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("rep"))
+    classes = written(classes, "minhash-sets")  # a table of its own, so that a set with very many documents can be split in the join
     members = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(classes, same)
 
     # One row for each class; of the rows that repeat it, any serves, for their sets are equal.
@@ -184,7 +185,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, miss: float = 1e-9) -> D
     placed = written(placed.select("key", "doc", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")), "minhash-blocks")
     delete(bands)
     wanted = placed.select("doc").distinct()
-    texts = docs.join(wanted, docs.doc_id == wanted.doc, "left_semi").join(reps, "doc_id").select(F.col("doc_id").alias("doc"), "sig", "text")
+    # The wanted ids grow with the corpus, so this is one merge join at every size.
+    texts = docs.join(wanted.hint("merge"), docs.doc_id == wanted.doc, "left_semi").join(reps, "doc_id").select(F.col("doc_id").alias("doc"), "sig", "text")
     full = placed.join(written(texts, "minhash-texts"), "doc").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     links = written(full.mapInArrow(_compared(percent, miss), "a long, b long"), "minhash-links")
     return _labelled(signed, members, links)
