@@ -26,7 +26,7 @@ from shelfmark.llm import gru
 from shelfmark.llm.common import flat, id_text, mix, ragged
 from shelfmark.llm.words import ALNUM, LOWER, groups, words
 
-WINDOW, STRIDE, AT_ONCE = 64, 32, 1024
+WINDOW, STRIDE, AT_ONCE, BATCH = 64, 32, 1024, 32
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 
@@ -110,8 +110,8 @@ def _spread(text: str, most_words: int) -> bytes:
     return b" ".join(b" ".join(w[s:s + run]) for s in starts)
 
 
-def fit(rows: list[tuple[str, int]], most_words: int = 2048, epochs: int = 5, seed: int = 7) -> Model:
-    """rows: (text, label) of the training documents, in a fixed order."""
+def fit(rows: list[tuple[str, int]], most_words: int = 2048, epochs: int = 5, least_steps: int = 200, seed: int = 7) -> Model:
+    """rows: (text, label) of the training documents, in a fixed order.  Few rows are seen more often, for least_steps batches in all."""
     y = np.array([r[1] for r in rows], np.float32)
     raw = [_spread(r[0], most_words) for r in rows]
     model = Model(gru.initial(seed), np.zeros(0, np.uint64), 1.0, 0.0)
@@ -132,11 +132,12 @@ def fit(rows: list[tuple[str, int]], most_words: int = 2048, epochs: int = 5, se
     pairs = np.unique(np.stack([every.number, doc]), axis=1)[0]
     model.kept = every.hashes[np.bincount(pairs, minlength=len(every.hashes)) >= 3]
     adam = gru.Adam(model.params, 0.01)
+    epochs = max(epochs, -(-least_steps // -(-len(front) // BATCH)))
     for epoch in range(epochs):
         adam.rate = 0.01 * (1 - 0.8 * epoch / epochs)
         shuffled = random.permutation(front)
-        for k in range(0, len(shuffled), 32):
-            which = shuffled[k:k + 32]
+        for k in range(0, len(shuffled), BATCH):
+            which = shuffled[k:k + BATCH]
             batch = texts(which)
             first, size, text = batch.windows()
             if not len(first):

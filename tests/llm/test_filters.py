@@ -188,7 +188,7 @@ def test_training_leaves_the_held_out_fold_and_odd_labels_alone(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(None, 1), (3, None), (999, 1)], "doc_id long, toxic int")
     seen = []
-    keep, T.fit = T.fit, lambda r, *a: seen.append(r) or keep(r[:20], *a, epochs=1)
+    keep, T.fit = T.fit, lambda r, *a: seen.append(r) or keep(r[:20], *a, epochs=1, least_steps=1)
     try:
         T.train(docs, labels, most_docs=40)
         T.train(docs, labels.limit(0))
