@@ -164,16 +164,27 @@ def fit(rows: list[tuple[str, int]], most_words: int = 2048, epochs: int = 5, le
             adam.step(grads | {"word": gw, "char": gc})
     z = _logits(model, texts(back))
     ok = np.isfinite(z)
-    z, t = z[ok], y[back][ok]
-    a, b = 1.0, 0.0
-    for _ in range(200):  # logistic fit by damped Newton steps, with a weak pull to a = 1
-        q = gru.sigmoid(a * z + b)
-        g = np.array([((q - t) * z).sum() + (a - 1), (q - t).sum() + 0.01 * b])
-        w = q * (1 - q) + 1e-6
-        hess = np.array([[(w * z * z).sum() + 1, (w * z).sum()], [(w * z).sum(), w.sum() + 0.01]])
-        da, db = np.linalg.solve(hess, g)
-        a, b = a - 0.5 * da, b - 0.5 * db
-    return Model(model.params, model.kept, float(max(a, 0.05)), float(b))
+    model.scale, model.shift = _calibrated(z[ok], y[back][ok])
+    return model
+
+
+def _calibrated(z: np.ndarray, t: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of a logistic fit that stays near 1 and 0 where there is little evidence: Newton steps, halved until they help."""
+    def loss(p):
+        x = p[0] * z + p[1]
+        return float((np.logaddexp(0, x) - t * x).sum() + 2 * (p[0] - 1) ** 2 + 0.25 * p[1] ** 2)
+
+    p = np.array([1.0, 0.0])
+    for _ in range(50):
+        q = gru.sigmoid(p[0] * z + p[1])
+        w = q * (1 - q)
+        slope = np.array([((q - t) * z).sum() + 4 * (p[0] - 1), (q - t).sum() + 0.5 * p[1]])
+        bend = np.array([[(w * z * z).sum() + 4, (w * z).sum()], [(w * z).sum(), w.sum() + 0.5]])
+        step, size = np.linalg.solve(bend, slope), 1.0
+        while size > 1e-6 and loss(p - size * step) > loss(p):
+            size /= 2
+        p = p - size * step
+    return max(float(p[0]), 0.05), float(p[1])
 
 
 def held_out(doc_id) -> bool:
