@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.patterns import SPACE, java
 
-# Decimal digits of every script in the BMP, so that numbers in Devanagari and others are read too.
-_DIGITS = "".join(c for c in map(chr, range(128, min(sys.maxunicode, 0xFFFF))) if unicodedata.category(c) == "Nd")
+# Decimal digits of every script, so that numbers in Devanagari and others are read too.
+_DIGITS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd")
 _DIGIT_VALUES = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
 
 

@@ -5,12 +5,11 @@ Pages are taken in ``seq`` order within a (run, source), which stands for the or
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions import text as t
+from shelfmark.functions.entities import unescape
 from shelfmark.functions.patterns import java
 from shelfmark.functions.urls import resolve
 from shelfmark.operators.quality import first_per
@@ -24,25 +23,34 @@ _HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
 _ANCHOR = r"(?is)<a(?=[\s/])((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
 _HREF = r"(?is)(?:^|[\s/\"'])href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))"
 
-# The entities that occur in URLs.
-_ENTITIES = [("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
+_BASE = _ANCHOR.replace("<a(", "<base(")
+
+
+def _href(tag: Column) -> Column:
+    return unescape(F.concat(*[F.regexp_extract(tag, _HREF, i) for i in (1, 2, 3)]))
 
 
 def anchor_hrefs(html: Column) -> Column:
     """All href values of anchors, in document order; JVM-side, no page parse."""
     tags = F.regexp_extract_all(F.regexp_replace(html, _HIDDEN, " "), F.lit(_ANCHOR), F.lit(1))
-    href = lambda a: F.concat(*[F.regexp_extract(a, _HREF, i) for i in (1, 2, 3)])
-    plain = lambda c: reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(e[1])), _ENTITIES, c)
-    return F.filter(F.transform(tags, lambda a: plain(href(a))), lambda u: u != "")
+    return F.filter(F.transform(tags, _href), lambda u: u != "")
+
+
+def page_base(url: Column, html: Column) -> Column:
+    """What the page's links are relative to: its first ``base`` element with an href, else its own url."""
+    tags = F.when(F.contains(F.lower(html), F.lit("<base")), F.regexp_extract_all(F.regexp_replace(html, _HIDDEN, " "), F.lit(_BASE), F.lit(1)))
+    first = F.get(F.filter(F.transform(tags, _href), lambda u: u != ""), F.lit(0))
+    return F.when(first.isNull(), url).otherwise(resolve(url, first))
 
 
 def product_links(pages: DataFrame, profile: SourceProfile) -> DataFrame:
     """One row per distinct product link of a page: (run, source, seq, url, link_url)."""
     wanted = lambda u: t.contains_any(u, profile.product_markers)
     hrefs = F.array_distinct(F.filter(anchor_hrefs(F.col("html")), wanted))
-    urls = F.array_distinct(F.transform("hrefs", lambda u: resolve(F.col("url"), u)))
+    urls = F.array_distinct(F.transform("hrefs", lambda u: resolve(F.col("base"), u)))
     return (pages.filter((F.col("source") == profile.source) & (F.col("status") == 200))
-            .select(*RUN, "seq", "url", hrefs.alias("hrefs")).select(*RUN, "seq", "url", F.explode(urls).alias("link_url")))
+            .select(*RUN, "seq", "url", hrefs.alias("hrefs"), page_base(F.col("url"), F.col("html")).alias("base"))
+            .filter(F.size("hrefs") > 0).select(*RUN, "seq", "url", F.explode(urls).alias("link_url")))
 
 
 def first_seen(links: DataFrame) -> DataFrame:

@@ -22,21 +22,20 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Elements without content, elements with raw text.
-VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
+VOID = {"area", "base", "br", "col", "embed", "frame", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = frozenset(["script", "style"])
 
 # An open element (key) ends when one of the listed elements starts.
-_CELL = "td th tr tbody thead tfoot"
+_CELL = ["td", "th", "tr", "tbody", "thead", "tfoot"]
 ENDS_BEFORE = {
-    "p": "address blockquote body caption center dd dir div dl dt fieldset form h1 h2 h3 h4 h5 h6 hr li menu ol p pre "
-         "table ul " + _CELL,
-    "li": "li", "dt": "dt dd", "dd": "dt dd", "option": "option optgroup", "a": "a",
-    "td": _CELL, "th": _CELL, "tr": "tr tbody thead tfoot",
-    "tbody": "tbody thead tfoot", "thead": "tbody tfoot", "tfoot": "tbody",
-    "b": "center p td th", "big": "p",
-    **{h: "fieldset form li p table" for h in ("h1", "h2", "h3", "h4", "h5", "h6")},
+    "p": ["address", "blockquote", "body", "caption", "center", "dd", "dir", "div", "dl", "dt", "fieldset", "form", "h1", "h2", "h3", "h4", "h5", "h6", "hr",
+          "li", "menu", "ol", "p", "pre", "table", "ul", *_CELL],
+    "li": ["li"], "dt": ["dt", "dd"], "dd": ["dt", "dd"], "option": ["option", "optgroup"], "a": ["a"],
+    "td": _CELL, "th": _CELL, "tr": ["tr", "tbody", "thead", "tfoot"],
+    "tbody": ["tbody", "thead", "tfoot"], "thead": ["tbody", "tfoot"], "tfoot": ["tbody"],
+    "b": ["center", "p", "td", "th"], "big": ["p"],
+    **{h: ["fieldset", "form", "li", "p", "table"] for h in ("h1", "h2", "h3", "h4", "h5", "h6")},
 }
-ENDS_BEFORE = {k: frozenset(v.split()) for k, v in ENDS_BEFORE.items()}
 
 # An end tag does not reach past an open element of higher rank.
 RANK = {"div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody": 180, "tfoot": 180, "table": 190,

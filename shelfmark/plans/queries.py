@@ -14,7 +14,7 @@ from shelfmark.functions.urls import resolve
 from shelfmark.operators import links as L
 from shelfmark.operators import merge as M
 from shelfmark.operators import quality as Q
-from shelfmark.operators.extract import extract_comics, issue_of, series_of
+from shelfmark.operators.extract import extract_comics, issue_of, series_of, woo_prices
 from shelfmark.operators.records import distinct_series, publisher_record
 from shelfmark.operators.shred import from_html
 from shelfmark.operators.summary import run_summary
@@ -135,6 +135,27 @@ def new_links_per_page(spark, sf_dir):
     return pages.select("seq").join(fresh, "seq", "left").select(F.col("seq").alias("page_id"), F.coalesce("n", F.lit(0)).alias("new_links"))
 
 
+def based_pages(spark: SparkSession, sf_dir: str, shop) -> DataFrame:
+    """A listing page per order: some have a base element, and every link is written with character references."""
+    o, n = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    base = F.when(F.col("o_orderstatus") == "F", F.lit('<head><base target="_top"><base href="https://shop.example/"></head>')).when(
+        F.col("o_orderstatus") == "P", F.lit("<head><BASE HREF='/sub/'></head>"))
+    path = "shop/product/p{n}/?a=1&#038;b=&eacute;&#x26;c={c}" if shop is PRESS else "index.php?route=product/product&amp;product_id={n}&#x26;c=&#{c};"
+    html = S.render("<html>{base}<body><a href=\"" + path + "\">p</a></body></html>", base=base, n=n, c=F.col("o_custkey") % 50 + 50)
+    return as_pages(o, shop.source, F.expr(S.RUN_TS), S.render("https://s.example/cat/list/{n}/", n=n), html, n)
+
+
+@query("""
+WITH p AS (SELECT o_orderkey AS n, o_custkey % 50 + 50 AS c, CASE o_orderstatus WHEN 'F' THEN 'https://shop.example/' WHEN 'P' THEN 'https://s.example/sub/'
+           ELSE 'https://s.example/cat/list/' || o_orderkey || '/' END AS base FROM orders)
+SELECT 'press' AS shop, n, base || 'shop/product/p' || n || '/?a=1&b=é&c=' || c AS link_url FROM p
+UNION ALL SELECT 'retail', n, base || 'index.php?route=product/product&product_id=' || n || '&c=' || chr(c::INTEGER) FROM p""")
+def links_based(spark, sf_dir):
+    found = lambda shop: L.product_links(based_pages(spark, sf_dir, shop), shop)
+    return found(PRESS).select(F.lit("press").alias("shop"), F.col("seq").alias("n"), "link_url").unionByName(
+        found(RETAIL).select(F.lit("retail").alias("shop"), F.col("seq").alias("n"), "link_url"))
+
+
 @query(r"""
 SELECT url, coalesce(try_cast(nullif(regexp_extract(url, '[?&]page=(\d+)', 1), '') AS bigint), 1) AS page_no,
        regexp_replace(url, '\?.*$', '') || '?page=' ||
@@ -290,15 +311,15 @@ def title_parse(spark, sf_dir):
 # ---- validation, dedupe, entity tests -------------------------------------------------------
 
 def document_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as comic items: short ones have no title, and the text's hash stands for the url."""
+    """Documents as comic items: those of one source have no title, those of one language no url; the text's hash stands for the url."""
     return table(spark, sf_dir, "documents").select(
         F.lit("r").alias("run_id"), F.col("lang").alias("source"), F.col("doc_id").alias("seq"), F.lit("comic").alias("entity"),
-        F.when(F.col("n_chars") > 400, t.clean_text(F.substring("text", 1, 40))).alias("title"),
-        F.when(F.col("n_chars") < 5000, F.md5("text")).alias("url"))
+        F.when(F.col("source") != "src1", t.clean_text(F.col("text"))).alias("title"),
+        F.when(F.col("lang") != "fr", F.md5("text")).alias("url"))
 
 
 DOC_ITEMS = f"""
-WITH i AS (SELECT doc_id, lang, CASE WHEN n_chars > 400 THEN {clean('text[1:40]')} END AS title, CASE WHEN n_chars < 5000 THEN md5(text) END AS url FROM documents)
+WITH i AS (SELECT doc_id, lang, CASE WHEN source <> 'src1' THEN {clean('text')} END AS title, CASE WHEN lang <> 'fr' THEN md5(text) END AS url FROM documents)
 """
 
 
@@ -364,14 +385,14 @@ def catalog_merge(spark, sf_dir):
 
 @query("""
 WITH w AS (SELECT 'C_' || o_custkey AS source, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS description, o_orderdate AS seen_at, o_orderkey AS seq
-           FROM orders WHERE o_orderstatus IN ('F', 'P')),
+           FROM orders),
 e AS (SELECT 'C_' || c_custkey AS source FROM customer)
 SELECT e.source, arg_max(coalesce(description, '-'), row(seen_at, seq)) FILTER (w.seq IS NOT NULL) AS description,
        least(TIMESTAMP '1999-01-01', min(seen_at)) AS created_at, coalesce(max(seen_at), TIMESTAMP '1999-01-01') AS updated_at
 FROM e LEFT JOIN w USING (source) GROUP BY e.source""")
 def last_write_wins(spark, sf_dir):
     day = F.col("o_orderdate")
-    told = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus").isin("F", "P")).select(
+    told = table(spark, sf_dir, "orders").select(
         F.concat(F.lit("C_"), F.col("o_custkey").cast("string")).alias("source"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("description"), F.lit("u").alias("url"), F.lit(1).alias("is_publisher"),
         F.col("o_orderkey").alias("seq"), day.alias("created_at"), day.alias("updated_at"))
@@ -385,13 +406,15 @@ def last_write_wins(spark, sf_dir):
 
 
 @query("""
-SELECT l_orderkey, l_linenumber, greatest(a, b, c) AS top1,
-       CASE WHEN least(a, b, c) = greatest(a, b, c) THEN NULL WHEN a <> b AND b <> c AND a <> c THEN a + b + c - greatest(a, b, c) - least(a, b, c)
-            ELSE least(a, b, c) END AS top2
-FROM (SELECT l_orderkey, l_linenumber, l_quantity AS a, round(l_discount * 100) AS b, l_suppkey::double AS c FROM lineitem)""")
+SELECT l_orderkey, l_linenumber, CASE WHEN len(v) > 1 THEN v[1] END AS original_price, CASE WHEN len(v) > 1 THEN v[2] ELSE v[1] END AS price
+FROM (SELECT l_orderkey, l_linenumber, list_reverse_sort(list_distinct(list_filter([l_quantity, round(l_discount * 100), l_suppkey::double], lambda x: x <> 0))) AS v FROM lineitem)""")
 def price_pair_topk(spark, sf_dir):
-    values = F.sort_array(F.array_distinct(F.array(F.col("l_quantity"), F.round(F.col("l_discount") * 100), F.col("l_suppkey").cast("double"))), asc=False)
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.get(values, F.lit(0)).alias("top1"), F.get(values, F.lit(1)).alias("top2"))
+    """The shop's price rule over three price texts: highest is the original price, next the price; one alone, or the same ones, is the price."""
+    texts = [F.concat(F.lit("₹"), F.format_number(c, 2)) for c in (F.col("l_quantity"), F.round(F.col("l_discount") * 100), F.col("l_suppkey").cast("double"))]
+    none = F.array().cast("array<string>")
+    page = F.struct(F.array(*texts).alias("price_all"), *[none.alias(n) for n in ("price_was", "price_cut", "price_plain")])
+    prices = woo_prices(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", page.alias("h")))
+    return prices.select("l_orderkey", "l_linenumber", "original_price", "price")
 
 
 # ---- run summary and exports ----------------------------------------------------------------
@@ -457,8 +480,13 @@ def binding_in(c: str, bound: str = "", back: str = "", cover: str = "") -> str:
     return "CASE " + " ".join(f"WHEN regexp_matches({c}, '(?i){NW}({r}){NE}') THEN '{label}'" for r, label in rules) + " END"
 
 
-DENY = ("litespeed|cache|comments|feed|quantity|logged|customers|purchased|product|review|there|are|no|reviews|yet|only|may|leave|hand|painted|variant|"
-        "cover|wraparound|poster|homage|action|figure|regular|hardbound|paperback|hardcover|english|hindi|issue|shot|one")
+# Fixed values, as in the profile but stated for SQL.
+DENY_WORDS = [
+    "litespeed", "cache", "comments", "feed", "quantity", "logged", "customers", "purchased", "product", "review", "there",
+    "are", "no", "reviews", "yet", "only", "may", "leave", "hand", "painted", "variant", "cover", "wraparound", "poster",
+    "homage", "action", "figure", "regular", "hardbound", "paperback", "hardcover", "english", "hindi", "issue", "shot", "one",
+]
+DENY = "|".join(DENY_WORDS)
 
 
 def told_by(pattern: str) -> str:

@@ -40,12 +40,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         "form": F.when(F.col("p_type") == "LARGE", "Hardcover").when(F.col("p_type") == "ECONOMY", "Paper Back"),
         "brand_no": F.regexp_extract("p_brand", r"\d+", 0)})
     stories = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("p_partkey"), "text")
-    # Parsing costs far more than the bytes suggest, so every core gets a share even of a small table.
-    return part.join(stories, "p_partkey", "left").repartition(shares(spark), "p_partkey")
-
-
-def shares(spark: SparkSession) -> int:
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Parsing costs far more than the bytes suggest, so the rows are dealt anew; the engine sizes the shares.
+    return part.join(stories, "p_partkey", "left").repartition("p_partkey")
 
 
 PRESS_HTML = """<html><head><title>{title}</title></head><body><h1 class="product_title entry-title"> {title}
@@ -107,7 +103,7 @@ href="/product/customer-{cust}/">c</a><li class="product"><a href='{second}'>o</
 
 def listing_pages(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """One listing page per order; a run per order month.  A page links its customer, and some link their own number."""
-    o = read(spark, sf_dir, "orders").repartition(shares(spark), "o_orderkey")
+    o = read(spark, sf_dir, "orders").repartition("o_orderkey")
     n, p = F.col("o_orderkey"), F.col("o_orderpriority")
     second = F.when(F.col("o_orderstatus") == "O", render("/product/order-{n}/", n=n)).otherwise(F.lit("/about/"))
     paging = (F.when(p == "1-URGENT", render('<a class="next" href="/shop/page/{n}/">next</a>', n=n + 1))

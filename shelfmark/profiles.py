@@ -101,9 +101,12 @@ BINDING_WORDS_STUDIO = BINDING_WORDS + [(["deluxe"], "Deluxe Edition")]
 BINDING_WORDS_RETAIL = [(["hardbound", "hard bound"], "Hardbound"), (["paperback", "paper back"], "Paperback"),
                         (["hardcover", "hard cover"], "Hardcover"), (["softcover"], "Softcover")]
 
-ARTIST_DENY = ("litespeed cache comments feed quantity logged customers purchased product review there are no reviews "
-               "yet only may leave hand painted variant cover wraparound poster homage action figure regular hardbound "
-               "paperback hardcover english hindi issue shot one").split()
+# Words that show that a text is no artist's name.
+ARTIST_DENY = [
+    "litespeed", "cache", "comments", "feed", "quantity", "logged", "customers", "purchased", "product", "review", "there",
+    "are", "no", "reviews", "yet", "only", "may", "leave", "hand", "painted", "variant", "cover", "wraparound", "poster",
+    "homage", "action", "figure", "regular", "hardbound", "paperback", "hardcover", "english", "hindi", "issue", "shot", "one",
+]
 
 PAGES_WORD = r"\b(\d+)\s*(?:pages?|pgs?|p\.?)\b"
 PAGES_ANYWHERE = r"(?:pages?|pgs?)[:\s]+(\d+)\b"

@@ -6,15 +6,16 @@ from pyspark.sql import SparkSession
 
 # Runtime SQL settings.  Page text is large, so batches to Python are kept small in rows and bytes.
 SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
-    "spark.sql.files.maxPartitionBytes": "32m",  # parsing a page costs far more than reading it
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
 # Settings a session takes only when it starts.
-AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}  # no call-site capture per expression
+AT_START = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",  # no call-site capture per expression
+}
 
 
 def tune(spark: SparkSession) -> SparkSession:

@@ -7,13 +7,13 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from shelfmark import schemas
-from shelfmark.session import SETTINGS
+from shelfmark.session import AT_START, SETTINGS
 
 
 @pytest.fixture(scope="session")
 def spark():
     builder = SparkSession.builder.master("local[4]").appName("tests")
-    for k, v in (SETTINGS | {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
+    for k, v in (SETTINGS | AT_START | {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
                              "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"}).items():
         builder = builder.config(k, v)
     session = builder.getOrCreate()

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from shelfmark.functions.entities import unescape
 from shelfmark.operators import links as L
 from shelfmark.profiles import PRESS, RETAIL
 
@@ -23,6 +24,20 @@ def test_anchor_hrefs_equal_the_page_parse(spark):
     assert r.fast == ["/x", "/y?a=1&b=2", "/z", "/w>v"] == [u for u in r.full if u]
 
 
+def test_references_equal_the_standard_library(spark):
+    import html
+    texts = ["", "a&b", "&amp;&lt;x&gt;", "a=1&#038;b", "&#x26;", "&#X1F389;&#128521;", "&eacute;&eacute", "&copy2", "&nope;&nope", "&#0;&#x80;&#150;&#xD800;&#x110000;&#99999999999;", "&#1;&#xFDD0;&#13;",
+             "&notit;&notin;", "&#;&#x;&", "é&amp;amp;", "&CounterClockwiseContourIntegral;"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [(r.t, r.u) for r in df.select("t", unescape(F.col("t")).alias("u")).collect()] == [(t, html.unescape(t)) for t in texts]
+
+
+def test_links_are_seen_from_the_first_base_with_an_href(make_pages):
+    page = '<base target="x"><!-- <base href="/no/"> --><base href="/sub/"><base href="/no/"><a href="shop/product/a/?x=1&#038;y=2">a</a>'
+    got = L.product_links(make_pages([(PRESS.source, SHOP, page)]), PRESS).collect()
+    assert [r.link_url for r in got] == ["https://s.example/sub/shop/product/a/?x=1&y=2"]
+
+
 def test_paging_rules(make_pages):
     got = decide(make_pages, PRESS, [
         (SHOP, P1 + '<a class="next" href="/shop/page/2/">n</a>'),                                    # 0 by class

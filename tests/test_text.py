@@ -67,3 +67,10 @@ def test_patterns_mean_the_same_in_java(spark, texts):
         for n, (p, i) in enumerate(PATTERNS):
             m = re.search(p, x, re.I if i else 0)
             assert r[f"p{n}"] == (m.group(1) if m else ""), (p, x)
+
+
+def test_digits_of_every_script(spark):
+    from shelfmark.functions import text as t
+    r = spark.createDataFrame([("𝟏𝟐", "x 𝟏𝟐.5", "१२")], "a string, b string, c string").select(
+        t.to_int(F.col("a")).alias("a"), t.extract_number(F.col("b")).alias("b"), t.to_int(F.col("c")).alias("c")).first()
+    assert (r.a, r.b, r.c) == (12, 12.5, 12)
