@@ -27,7 +27,9 @@ def surrogate_id(*keys: str) -> Column:
 
 def catalog_rows(items: DataFrame, load_ts: Column) -> DataFrame:
     """Loadable comic records in the catalog's shape, plus ``seq`` for the order within the load."""
-    raw = F.to_json(F.struct(*[F.col(c) for c in schemas.fields(schemas.COMIC) if c in items.columns]))
+    # A record read from an export keeps its own text; fields outside the contract are in there alone.
+    built = F.to_json(F.struct(*[F.col(c) for c in schemas.fields(schemas.COMIC) if c in items.columns]))
+    raw = F.coalesce("raw_json", built) if "raw_json" in items.columns else built
     rows = items.filter(is_comic() & load_reject(items).isNull()).withColumns({
         "raw_json": raw, "series_name": F.col("series"), "source": source_key(F.col("source")),
         "publisher": F.when(t.truthy(F.col("publisher")).isNotNull(), t.name_key(F.col("publisher"))),
@@ -50,6 +52,12 @@ def first_write_wins(rows: DataFrame, keys: list[str], order: list[str]) -> Data
     return merged.select(*[F.col(f"first.{c}").alias(c) if c in kept else F.col(c) for c in rows.columns if c != "seq"])
 
 
+def refused(items: DataFrame) -> DataFrame:
+    """Comic records that do not reach the catalog, with the reason."""
+    rows = items.filter(is_comic()).withColumn("reason", load_reject(items)).filter(F.col("reason").isNotNull())
+    return rows.select(source_key(F.col("source")).alias("source"), "seq", "url", "title", "reason")
+
+
 def merge_catalog(catalog: DataFrame, batch: DataFrame) -> DataFrame:
     """Catalog after one load.
 

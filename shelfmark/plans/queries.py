@@ -456,7 +456,7 @@ def csv_rows(spark, sf_dir):
         F.lit("comic").alias("entity"), "p_partkey", F.col("p_name").alias("title"), F.col("p_retailprice").alias("price"),
         F.col("p_size").cast("bigint").alias("pages"), F.array("p_name", F.lit(""), "p_type").alias("genre"), F.lit(None).cast("string").alias("isbn"),
         F.col("p_partkey").cast("string").alias("url"))
-    return X.csv_table(items, "comic").withColumn("p_partkey", F.col("url").cast("bigint")).drop("url")
+    return X.csv_table(items, "comic", ["url", "title", "price", "pages", "genre"]).withColumn("p_partkey", F.col("url").cast("bigint")).drop("url")
 
 
 # ---- product pages --------------------------------------------------------------------------

@@ -62,12 +62,15 @@ def run_file_path(root: str, run_ts: Column, source: Column) -> Column:
     return F.concat_ws("/", F.lit(root), F.date_format(run_ts, "yyyy-MM-dd"), t.folder_name(source), t.run_file_name(run_ts))
 
 
-def csv_table(items: DataFrame, entity: str) -> DataFrame:
-    """One record kind flattened for CSV: columns by name, those never set left out, lists joined."""
-    rows = items.filter(F.col("entity") == entity)
-    names = sorted(c for c in schemas.fields(schemas.ENTITIES[entity]) if c in items.columns)
+def csv_columns(items: DataFrame) -> DataFrame:
+    """Per record kind, the fields that some record of it has, by name: one aggregate over the items, one row per kind."""
+    filled = [F.when(F.count(c) > 0, F.lit(c)) for c in sorted(c for c in ITEM_FIELDS if c in items.columns)]
+    return items.groupBy("entity").agg(F.array_compact(F.array(*filled)).alias("columns"))
+
+
+def csv_table(items: DataFrame, entity: str, columns: list[str]) -> DataFrame:
+    """One record kind flattened for CSV: the given columns by name, lists joined.  Runs nothing."""
     kinds = dict(items.dtypes)
-    filled = rows.agg(*[F.count(c).alias(c) for c in names]).first().asDict()
 
     def flat(c: str) -> Column:
         if kinds[c].startswith("array"):
@@ -76,12 +79,13 @@ def csv_table(items: DataFrame, entity: str) -> DataFrame:
             return F.to_json(c).alias(c)
         return F.col(c)
 
-    return rows.select(*[flat(c) for c in names if filled[c]])
+    own = schemas.fields(schemas.ENTITIES[entity])
+    return items.filter(F.col("entity") == entity).select(*[flat(c) for c in sorted(columns) if c in own])
 
 
 def write_csv(items: DataFrame, path: str, mode: str = "append") -> None:
-    """A folder per record kind that occurs."""
-    present = {r[0] for r in items.select("entity").distinct().collect()}  # at most six kinds
-    for entity in schemas.ENTITIES:
-        if entity in present:
-            csv_table(items, entity).write.mode(mode).option("header", True).option("escape", '"').csv(f"{path}/{entity}")
+    """A folder per record kind that occurs, with the fields that occur in it.  Items should be stored ones: they are read once for the
+    headers and once per kind."""
+    for entity, columns in csv_columns(items).collect():  # at most six kinds
+        if entity in schemas.ENTITIES:
+            csv_table(items, entity, columns).write.mode(mode).option("header", True).option("escape", '"').csv(f"{path}/{entity}")

@@ -1,17 +1,31 @@
-"""Snapshots of the merged tables: each load writes a new folder, readers take the newest complete one."""
+"""The stored tables, one folder per load.
+
+``sources`` is small, so each load writes it whole and readers take the newest folder.  ``catalog`` is a log: a load adds the first sighting
+of each of its own keys, and readers resolve the log, so that a load costs as much as its records, whatever the table holds.
+"""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark import schemas
+from shelfmark.operators.merge import CATALOG_KEY, first_write_wins
 
 LAYOUT = {"catalog": schemas.CATALOG, "sources": schemas.SOURCES}
 
 
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new folder for tables of a query, in the folder that the cluster's machines share; a local one only where none is named."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def snapshots(spark: SparkSession, root: str) -> list[int]:
-    """Ids of the complete snapshots, from the folder listing."""
+    """Ids of the complete folders, from the folder listing."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -20,15 +34,29 @@ def snapshots(spark: SparkSession, root: str) -> list[int]:
 
 
 def read_table(spark: SparkSession, name: str, root: str, before: int | None = None) -> DataFrame:
-    """Newest snapshot, or the newest one older than ``before``; empty when there is none."""
+    """The table after the newest load, or after the newest one older than ``before``; empty when there is none."""
     ids = [i for i in snapshots(spark, root) if before is None or i < before]
-    if not ids:
-        return spark.createDataFrame([], LAYOUT[name])
-    return spark.read.schema(LAYOUT[name]).parquet(f"{root}/snapshot={ids[-1]}")
+    if name != "catalog":
+        return spark.read.schema(LAYOUT[name]).parquet(f"{root}/snapshot={ids[-1]}") if ids else spark.createDataFrame([], LAYOUT[name])
+    bases = [i for i in snapshots(spark, f"{root}_base") if before is None or i < before]
+    folders = [f"{root}_base/snapshot={i}" for i in bases[-1:]]
+    log = [f"{root}/snapshot={i}" for i in ids if not bases or i > bases[-1]]
+    rows = spark.createDataFrame([], f"{LAYOUT[name]}, snapshot bigint")
+    for part, at in ((folders, f"{root}_base"), (log, root)):
+        if part:  # one scan of all folders of the log
+            rows = rows.unionByName(spark.read.schema(rows.schema).option("basePath", at).parquet(*part))
+    return first_write_wins(rows.withColumnRenamed("snapshot", "seq"), CATALOG_KEY, ["seq"])
+
+
+def compact(spark: SparkSession, root: str) -> None:
+    """Resolve the catalog's log once into a base; readers then start from it, and folders up to its number may be removed."""
+    ids = snapshots(spark, root)
+    if ids and ids[-1] not in snapshots(spark, f"{root}_base"):
+        write_table(read_table(spark, "catalog", root), "catalog", f"{root}_base", ids[-1])
 
 
 def write_table(df: DataFrame, name: str, root: str, load_id: int) -> None:
-    """Write one snapshot; the catalog is laid out by source.  Writing an id again replaces it."""
+    """Write one load's folder; the catalog is laid out by source.  Writing an id again replaces it."""
     ordered = df.select(*[F.col(c).cast(k).alias(c) for c, k in schemas.fields(LAYOUT[name]).items()])
     writer = ordered.write.mode("overwrite")
     (writer.partitionBy("source") if name == "catalog" else writer).parquet(f"{root}/snapshot={load_id}")

@@ -7,15 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import LongType, StructField, StructType
 
 from shelfmark import schemas
 from shelfmark.functions.text import truthy
 from shelfmark.operators.extract import extract_comics
 from shelfmark.operators.quality import dedupe_by_url, validate
-from shelfmark.operators.records import _with_series
+from shelfmark.operators.records import _with_series, listing_of, told_by_listing
 from shelfmark.plans.jobs import load
 from shelfmark.profiles import PROFILES, SourceProfile
-from shelfmark.sources.tables import snapshots
 
 
 def page_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -23,14 +23,18 @@ def page_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -
 
 
 def record_stream(pages: DataFrame, profiles: list[SourceProfile] = PROFILES) -> DataFrame:
-    """Comic and series records of a page stream, validated (publisher records need a whole run; the batch job gives them)."""
+    """Publisher, comic and series records of a page stream, validated.
+
+    Every listing page gives its publisher record; all of a run have the shop's own url, so the url rule keeps the first.
+    """
     parts = []
     for p in profiles:
         comics = extract_comics(pages, p)
         parts.append((comics.withColumn("ord", F.lit(1)) if p.family == "retail" else _with_series(comics)).drop("page_url"))
+        parts.append(told_by_listing(listing_of(pages, p), p).withColumn("ord", F.lit(0)))
     out = parts[0]
     for part in parts[1:]:
-        out = out.unionByName(part)
+        out = out.unionByName(part, allowMissingColumns=True)
     return validate(out)
 
 
@@ -49,28 +53,39 @@ def dedupe_stream(records: DataFrame, delay: str | None = None) -> tuple[DataFra
 
 
 def merge_sink(spark: SparkSession, root: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: first arrivals of batch n become items n, then snapshot n of both tables.
+    """``foreachBatch`` function: first arrivals of batch n become items n, then load n of both tables.
 
-    A repeated batch replaces its own items and snapshots.  Items are written before they are merged, so pages are parsed
-    once and a lost executor costs no more than a re-read.
+    A repeated batch replaces its own items and load.  Items are written before they are merged, so pages are parsed once and a lost
+    executor costs no more than a re-read.  Of earlier items only the runs between the batch's first and last are read: items lie in
+    folders by run, and one row of bounds is all that reaches the driver.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        fresh = dedupe_by_url(batch, order=("seq", "ord"))
-        earlier = [f"{root}/items/snapshot={i}" for i in snapshots(session, f"{root}/items") if i < batch_id]
-        if earlier:
-            seen = session.read.schema(batch.schema).parquet(*earlier).select("run_id", "source", "url")
-            fresh = fresh.join(seen, ["run_id", "source", "url"], "left_anti")
-        here = f"{root}/items/snapshot={batch_id}"
-        fresh.select(*batch.columns).write.mode("overwrite").parquet(here)
-        records = session.read.schema(batch.schema).parquet(here)
-        stamp = records.agg(F.max("run_ts")).first()[0]  # the load time travels with the data
-        if stamp is not None:
-            named = records.withColumns({c: F.lit(None).cast("string") for c in ("name", "website") if c not in records.columns})
-            load(session, named, root, batch_id, F.lit(stamp).cast("timestamp"))
+        session, items = batch.sparkSession, f"{root}/items"
+        kinds = StructType([*batch.schema.fields, StructField("batch", LongType())])
+        here = f"{root}/arrived/batch={batch_id}"
+        dedupe_by_url(batch, order=("seq", "ord")).select(*batch.columns).write.mode("overwrite").parquet(here)
+        arrived = session.read.schema(batch.schema).parquet(here)
+        low, high, stamp = arrived.agg(F.min("run_id"), F.max("run_id"), F.max("run_ts")).first()
+        if low is None:
+            return
+        fresh = arrived
+        if _exists(session, items):
+            stored = session.read.schema(kinds).parquet(items)
+            seen = stored.filter(F.col("run_id").between(low, high) & (F.col("batch") < batch_id)).select("run_id", "source", "url").distinct()
+            fresh = arrived.join(seen, ["run_id", "source", "url"], "left_anti")
+        (fresh.select(*batch.columns, F.lit(batch_id).cast("bigint").alias("batch")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "batch").parquet(items))
+        records = session.read.schema(kinds).parquet(items).filter(F.col("run_id").between(low, high) & (F.col("batch") == batch_id))
+        # The load time travels with the data; a source without new records is ensured too.
+        load(session, records, root, batch_id, F.lit(stamp).cast("timestamp"), runs=arrived)
     return sink
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def write_merged(records: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
     return (records.writeStream.foreachBatch(merge_sink(records.sparkSession, root))
             .option("checkpointLocation", checkpoint).outputMode("append"))
