@@ -126,3 +126,28 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     done = dedup_lines(documents(spark, sf_dir))
     return done.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.periodic import digest, periodic_runs, with_planted_runs
+
+    return digest(periodic_runs(with_planted_runs(documents(spark, sf_dir)), least=24, times=3))
+
+
+@query(r"""
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS h FROM pages),
+t AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(h, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&#x27;', chr(39)), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM a)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM t""")
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.main_text import main_text
+
+    return main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query()
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfmark.llm.repair import damaged, digest
+
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return digest(damaged(conversations), every=conversations)
