@@ -14,7 +14,8 @@ from shelfmark.plans.queries import flat, query, table, title_case
 from shelfmark.profiles import PRESS, RETAIL
 from shelfmark.sources import exports as X
 from shelfmark.sources.pages import as_pages, read_pages, write_pages
-from shelfmark.sources.tables import read_table, work_path
+from shelfmark.sources.tables import read_table
+from shelfmark.sources.work import work_path
 from shelfmark.streaming import ingest
 
 

@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Stream state with timers needs the store on disk.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 # Settings a session takes only when it starts.

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfmark import schemas
 from shelfmark.functions import text as t
+from shelfmark.sources.arrays import RANGE_BYTES, read_members
 
 # Every field an exported record may carry, whatever its kind.
 ITEM_FIELDS = schemas.fields(schemas.PUBLISHER) | schemas.fields(schemas.SERIES) | schemas.fields(schemas.COMIC)
@@ -23,24 +24,31 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ddl + ", run_date date, source string").json(path)
 
 
+def _records(items: DataFrame) -> DataFrame:
+    """Fields of the members that are objects, from a column ``item``; a field of another type than expected is NULL."""
+    field = lambda c, k: F.try_variant_get("item", f"$.{c}", k).alias(c)
+    return items.filter(F.schema_of_variant("item").startswith("OBJECT")).select(
+        *[c for c in items.columns if c != "item"], F.to_json("item").alias("raw_json"), *[field(c, k) for c, k in ITEM_FIELDS.items()])
+
+
 def parse_export(documents: DataFrame, text: str = "value") -> DataFrame:
-    """Records of exported array documents.
+    """Records of exported array documents that are at hand as a column.
 
     A document that is not an array is rejected whole; members that are not objects are skipped; a field of another type
     than expected is NULL.  Adds ``position``, the record's place in its document.
     """
     members = documents.withColumn("members", F.from_json(F.col(text), "array<variant>")).drop(text)
-    items = members.select(*[c for c in members.columns if c != "members"], F.posexplode("members").alias("position", "item"))
-    items = items.filter(F.schema_of_variant("item").startswith("OBJECT"))
-    field = lambda c, k: F.try_variant_get("item", f"$.{c}", k).alias(c)
-    return items.select(*[c for c in items.columns if c != "item"], F.to_json("item").alias("raw_json"),
-                        *[field(c, k) for c, k in ITEM_FIELDS.items()])
+    return _records(members.select(*[c for c in members.columns if c != "members"], F.posexplode("members").alias("position", "item")))
+
 
+def read_export(spark: SparkSession, paths: str | list[str], range_bytes: int = RANGE_BYTES, task_bytes: int | None = None) -> DataFrame:
+    """Records of exported array files, as ``parse_export`` gives them; every file is read by as many tasks as its size asks for.
 
-def read_export(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Exported array files; one file is one document, files are read in parallel."""
-    files = spark.read.text(paths, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
-    return parse_export(files)
+    A file with anything in it that is no JSON is rejected whole, so the files are read once more to find these; only their names are kept.
+    """
+    members = read_members(spark, paths, range_bytes, task_bytes).select("file", "position", F.try_parse_json("value").alias("item"))
+    bad = members.filter(F.col("item").isNull()).select("file").distinct()
+    return _records(members.join(bad, "file", "left_anti"))
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:

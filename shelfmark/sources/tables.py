@@ -6,9 +6,6 @@ of each of its own keys, and readers resolve the log, so that a load costs as mu
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,12 +15,6 @@ from shelfmark.operators.merge import CATALOG_KEY, first_write_wins
 LAYOUT = {"catalog": schemas.CATALOG, "sources": schemas.SOURCES}
 
 
-def work_path(spark: SparkSession, name: str) -> str:
-    """A new folder for tables of a query, in the folder that the cluster's machines share; a local one only where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def snapshots(spark: SparkSession, root: str) -> list[int]:
     """Ids of the complete folders, from the folder listing."""
     jvm = spark.sparkContext._jvm

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructField, StructType
 
 from shelfmark import schemas
@@ -38,18 +39,63 @@ def record_stream(pages: DataFrame, profiles: list[SourceProfile] = PROFILES) ->
     return validate(out)
 
 
+class FirstArrival(StatefulProcessor):
+    """Per (run, source, url): of the micro-batch that brings the url first, the record with the lowest (seq, ord); later ones are dropped.
+
+    State is the time of the last sighting.  With a delay, a url is forgotten once the watermark is that far past it, by a timer, or at once
+    when a later record meets state whose time is up.
+    """
+
+    def __init__(self, columns: list[str], delay_ms: int | None):
+        self.columns, self.delay = columns, delay_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "at long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        best, latest = None, None
+        for r in rows:  # a stream: a url that half of a batch shares is held as one row
+            rank = (r["__seq"], r["__ord"])
+            if best is None or rank < best[0]:
+                best = (rank, r)
+            latest = r["__at"] if latest is None else max(latest, r["__at"])
+        before = self.seen.get()[0] if self.seen.exists() else None
+        if before is not None and self.delay is not None:
+            self.handle.deleteTimer(before + self.delay)
+            if before + self.delay <= timerValues.getCurrentWatermarkInMs():
+                before = None
+        at = latest if before is None else max(before, latest)
+        self.seen.update((at,))
+        if self.delay is not None:
+            self.handle.registerTimer(at + self.delay)
+        if before is None and best is not None:
+            yield Row(**{c: best[1][c] for c in self.columns})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.seen.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
 def dedupe_stream(records: DataFrame, delay: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(records with a url, one per run and url; records without one, all of them).
 
-    State is one key per url seen.  ``delay`` bounds it by ``fetched_at``: a url is forgotten that long after it was seen.
-    Of two records that reach the state in one micro-batch either may win; ``merge_sink`` decides by ``seq``.
+    The first micro-batch that brings a url decides, and in it the lowest (seq, ord), as in a batch job.  State is one time per url;
+    ``delay`` bounds it by ``fetched_at``: a url is forgotten that long after it was last seen, and records later than that are dropped.
+    The session's state store must be RocksDB (``session.SETTINGS``).
     """
     has_url = truthy(F.col("url")).isNotNull()
-    keys = ["run_id", "source", "url"]
     with_url, without = records.filter(has_url), records.filter(F.coalesce(~has_url, F.lit(True)))
-    if delay is None:
-        return with_url.dropDuplicates(keys), without
-    return with_url.withWatermark("fetched_at", delay).dropDuplicatesWithinWatermark(keys), without
+    number = lambda c, default: F.coalesce(F.col(c).cast("long") if c in records.columns else F.lit(None).cast("long"), F.lit(default))
+    if delay is not None:
+        with_url = with_url.withWatermark("fetched_at", delay)
+    ranked = with_url.withColumns({"__seq": number("seq", 1 << 62), "__ord": number("ord", 0), "__at": F.coalesce(F.unix_millis("fetched_at"), F.lit(0))})
+    processor = FirstArrival(records.columns, None if delay is None else int(pd.Timedelta(delay).total_seconds() * 1000))
+    firsts = ranked.groupBy("run_id", "source", "url").transformWithState(processor, records.schema, "Append", "None" if delay is None else "EventTime")
+    return firsts, without
 
 
 def merge_sink(spark: SparkSession, root: str) -> Callable[[DataFrame, int], None]:
