@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators import chain as C
 from shelfmark.operators import links as L
+from shelfmark.operators import merge as M
 from shelfmark.plans import shop_pages as S
-from shelfmark.plans.queries import query, table
+from shelfmark.plans.queries import CATALOG_COLUMNS, order_sightings, query, table
 from shelfmark.profiles import PRESS
 from shelfmark.sources import exports as X
+from shelfmark.sources import tables as T
 from shelfmark.sources.pages import as_pages
 from shelfmark.sources.work import work_path
 from shelfmark.streaming import ingest
@@ -97,10 +99,10 @@ def chain_cycles(spark, sf_dir):
 # ---- a stream with state --------------------------------------------------------------------
 
 STREAM_SQL = """
-WITH o AS (SELECT o_orderpriority AS run_id, CASE WHEN o_custkey % 11 <> 0 THEN 'u' || o_custkey END AS url, o_orderkey AS seq, o_orderdate AS at,
+WITH o AS (SELECT o_orderpriority AS run_id, CASE WHEN o_custkey % 11 <> 0 THEN 'u' || o_custkey END AS url, o_orderkey AS seq, o_orderdate AS t,
                   CASE WHEN year(o_orderdate) < 1996 THEN 1 WHEN year(o_orderdate) < 1999 THEN 2 ELSE 3 END AS batch FROM orders),
-ends AS (SELECT batch + 1 AS batch, max(max(at)) OVER (ORDER BY batch) AS top FROM o WHERE url IS NOT NULL GROUP BY batch),
-k AS (SELECT run_id, url, batch, min(seq) AS seq, max(at) AS last FROM o WHERE url IS NOT NULL GROUP BY ALL),
+ends AS (SELECT batch + 1 AS batch, max(max(t)) OVER (ORDER BY batch) AS top FROM o WHERE url IS NOT NULL GROUP BY batch),
+k AS (SELECT run_id, url, batch, min(seq) AS seq, max(t) AS last FROM o WHERE url IS NOT NULL GROUP BY ALL),
 p AS (SELECT *, max(last) OVER (PARTITION BY run_id, url ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM k)
 SELECT run_id, url, seq FROM p LEFT JOIN ends USING (batch) WHERE before IS NULL OR before + INTERVAL 800 DAY <= top
 UNION ALL SELECT run_id, NULL, seq FROM o WHERE url IS NULL"""
@@ -120,3 +122,20 @@ def stream_first_arrivals(spark, sf_dir):
         (firsts.unionByName(without).writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
          .trigger(availableNow=True).start().awaitTermination())
     return spark.read.schema(rows.schema).parquet(f"{root}/out").select("run_id", "url", "seq")
+
+
+# ---- the catalog after many loads -----------------------------------------------------------
+
+@query("""
+WITH s AS (SELECT 'u' || o_custkey AS url, o_orderstatus AS title, CAST(round(o_totalprice / 50000) AS decimal(10,2)) AS price,
+                  o_orderpriority AS description, o_orderdate AS seen_at, o_orderkey AS seq, o_orderkey % 7 AS load FROM orders),
+k AS (SELECT url, title, price, load, arg_min(description, row(seen_at, seq)) AS description, min(seen_at) AS created_at, max(seen_at) AS updated_at FROM s GROUP BY ALL)
+SELECT url, title, price, arg_min(description, load) AS description, arg_min(created_at, load) AS created_at, max(updated_at) AS updated_at FROM k GROUP BY ALL""")
+def catalog_loads(spark, sf_dir):
+    """Orders as sightings in seven loads: known products cost a load a narrow row, and every third load merges folders."""
+    root = f"{work_path(spark, 'catalog-loads')}/catalog"
+    rows = order_sightings(spark, sf_dir)
+    for load_id in range(7):
+        batch = M.first_write_wins(rows.filter(F.col("seq") % 7 == load_id), M.CATALOG_KEY, ["created_at", "seq"])
+        T.append(spark, root, batch, load_id, fan=3)
+    return T.read_table(spark, "catalog", root).select(*CATALOG_COLUMNS)
