@@ -26,10 +26,13 @@ def initial(seed: int) -> dict[str, np.ndarray]:
     return {k: v.astype(np.float32) for k, v in p.items()}
 
 
-def word_inputs(p: dict, rows: np.ndarray, grams: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Input of each distinct word: its own row, and the mean rows of its short and long character runs."""
+def word_inputs(p: dict, rows: np.ndarray, grams: np.ndarray, begins: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Input of each distinct word: its own row, and the mean rows of its short and long character runs, those not known being zero.  Rows beyond
+    the words with characters have none."""
     sizes = np.diff(np.append(begins, len(grams)))
-    chars = [np.add.reduceat(p["char"][k][grams[:, k]], begins, axis=0) / sizes[:, None] for k in range(2)]
+    bare = np.zeros((len(rows) - len(begins), CHAR_DIM))
+    chars = [np.concatenate([np.add.reduceat(p["char"][k][grams[:, k]] * known[:, k, None], begins, axis=0) / sizes[:, None] if len(begins) else np.zeros((0, CHAR_DIM)), bare])
+             for k in range(2)]
     return np.concatenate([p["word"][rows], *chars], axis=1).astype(np.float32)
 
 

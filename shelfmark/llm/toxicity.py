@@ -5,8 +5,11 @@ begin every 32 words and cover the whole text; attention pools the states of a w
 weighs a document's windows by how toxic they look, so that a label of a long text finds its place; a logistic fit over held-back training
 documents then turns logits into probabilities.
 
-Labels are learnt from at most `most_docs` rows, half of each class where there are enough, taken by the hash of doc_id, and from at most
-`most_words` words of each (spread over its whole text).  Only text is an input of a score.  Texts without words (null, empty, punctuation)
+What was never seen speaks for neither side: runs of characters that no training text has are zero, and clean training texts are also shown
+with some, many or all of their words unknown.
+
+Labels are learnt from at most `most_docs` rows, half of each class where there are enough, taken by the hash of doc_id, and from all windows of
+each.  Only text is an input of a score.  Texts without words (null, empty, punctuation)
 score 0.  Rows that repeat, or have a null doc_id, are scored like any other.  Without labels of both classes every score is 0; an empty table
 gives an empty result.  Further columns are left out by scores(), and kept by drop_toxic().
 """
@@ -15,7 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,7 @@ THRESHOLD = 0.3
 class Model:
     params: dict[str, np.ndarray]
     kept: np.ndarray  # sorted hashes of the words that have an embedding row of their own
+    grams: np.ndarray  # of each row of letter groups, whether it was learnt
     scale: float
     shift: float
 
@@ -84,13 +88,19 @@ class Texts:
         return self.number[np.where(inside, first + step, first)], inside
 
 
+def _inputs(model: Model, texts: Texts, rows: np.ndarray) -> np.ndarray:
+    """Inputs of the distinct words, and of a word of which nothing is known as the last one."""
+    known = model.grams[np.arange(2), texts.grams] if len(texts.grams) else np.zeros((0, 2), bool)
+    return gru.word_inputs(model.params, np.append(rows, 0), texts.grams, texts.begins, known)
+
+
 def _logits(model: Model, texts: Texts) -> np.ndarray:
     """The highest window of each text; -inf without words."""
     out = np.full(len(texts.upto) - 1, -np.inf)
     first, size, text = texts.windows()
     if not len(first):
         return out
-    inputs = gru.word_inputs(model.params, texts.rows(model.kept), texts.grams, texts.begins)
+    inputs = _inputs(model, texts, texts.rows(model.kept))
     order = np.argsort(-size, kind="stable")
     for k in range(0, len(order), AT_ONCE):
         some = order[k:k + AT_ONCE]
@@ -99,24 +109,53 @@ def _logits(model: Model, texts: Texts) -> np.ndarray:
     return out
 
 
-def _spread(text: str, most_words: int) -> bytes:
-    """The text, or if it has too many words evenly spread stretches of it."""
-    raw = text.encode()
-    w = raw.split(b" ")
-    if len(w) <= most_words:
-        return raw
-    run = 256
-    starts = np.linspace(0, len(w) - run, most_words // run).astype(int)
-    return b" ".join(b" ".join(w[s:s + run]) for s in starts)
-
-
-def fit(rows: list[tuple[str, int]], most_words: int = 2048, epochs: int = 5, least_steps: int = 200, seed: int = 7) -> Model:
-    """rows: (text, label) of the training documents, in a fixed order.  Few rows are seen more often, for least_steps batches in all."""
+def _step(model: Model, batch: Texts, y: np.ndarray, random: np.random.Generator) -> dict[str, np.ndarray] | None:
+    """Gradients of one batch over all windows of its texts; windows are taken AT_ONCE at a time, so a long text needs no more memory."""
+    first, size, text = batch.windows()
+    if not len(first):
+        return None
+    rows_of = batch.rows(model.kept)
+    rows_of = np.where(random.random(len(rows_of)) < 0.1, 0, rows_of)  # some words are seen by their characters alone
+    inputs = _inputs(model, batch, rows_of)
+    unknown = len(inputs) - 1
+    # Clean texts are also seen with some, many or all words unknown, so that what was never seen speaks for neither side.
+    share = np.where((y == 0) & (random.random(len(y)) < 0.5), random.random(len(y)) * 1.2, 0.0)
+    parts = [slice(k, k + AT_ONCE) for k in range(0, len(first), AT_ONCE)]
+    grids = []
+    for part in parts:
+        index, inside = batch.grid(first[part], size[part])
+        grids.append((np.where(random.random(index.shape) < share[text[part]], unknown, index), inside))
+    done = [gru.forward(model.params, inputs, *g, keep=len(parts) == 1) for g in grids]
+    z = np.concatenate([x for x, _ in done])
+    top = np.full(len(y), -np.inf)
+    np.maximum.at(top, text, z)
+    e = np.exp(z - top[text])
+    total = np.bincount(text, e, len(y))
+    soft = np.where(np.isfinite(top), top + np.log(np.maximum(total, 1e-9)), 0)
+    d = ((gru.sigmoid(soft) - y)[text] * e / total[text] / len(y)).astype(np.float32)
+    grads, dwords = None, 0
+    for part, g, (_, kept) in zip(parts, grids, done):
+        kept = kept or gru.forward(model.params, inputs, *g, keep=True)[1]
+        some, dw = gru.backward(model.params, inputs, *g, kept, d[part])
+        grads = some if grads is None else {k: grads[k] + some[k] for k in grads}
+        dwords = dwords + dw
+    gw, gc = np.zeros_like(model.params["word"]), np.zeros_like(model.params["char"])
+    np.add.at(gw, np.append(rows_of, 0), dwords[:, :gru.WORD_DIM])
+    sizes = np.diff(np.append(batch.begins, len(batch.grams)))
+    each = np.repeat(dwords[:-1, gru.WORD_DIM:] / sizes[:, None], sizes, axis=0)
+    for k in range(2):
+        np.add.at(gc[k], batch.grams[:, k], each[:, k * gru.CHAR_DIM:(k + 1) * gru.CHAR_DIM] * model.grams[k, batch.grams[:, k]][:, None])
+    return grads | {"word": gw, "char": gc}
+
+
+def fit(rows: list[tuple[str, int]], epochs: int = 5, least_steps: int = 200, seed: int = 7) -> Model:
+    """rows: (text, label) of the training documents, in a fixed order; all windows of each are learnt from.  Few rows are seen more often, for
+    least_steps batches in all."""
     y = np.array([r[1] for r in rows], np.float32)
-    raw = [_spread(r[0], most_words) for r in rows]
-    model = Model(gru.initial(seed), np.zeros(0, np.uint64), 1.0, 0.0)
+    raw = [r[0].encode() for r in rows]
+    model = Model(gru.initial(seed), np.zeros(0, np.uint64), np.zeros((2, gru.CHAR_ROWS), bool), 1.0, 0.0)
     if not len(y) or y.min() == y.max():
-        return Model(model.params, model.kept, 0.0, -np.inf)
+        return replace(model, scale=0.0, shift=-np.inf)
 
     def texts(which):
         part = [raw[i] for i in which]
@@ -130,7 +169,9 @@ def fit(rows: list[tuple[str, int]], most_words: int = 2048, epochs: int = 5, le
     every = texts(front)
     doc = np.repeat(np.arange(len(front)), np.diff(every.upto))
     pairs = np.unique(np.stack([every.number, doc]), axis=1)[0]
-    model.kept = every.hashes[np.bincount(pairs, minlength=len(every.hashes)) >= 3]
+    common = np.bincount(pairs, minlength=len(every.hashes)) >= 3
+    model.kept = every.hashes[common]
+    model.grams[np.arange(2), every.grams] = True
     adam = gru.Adam(model.params, 0.01)
     epochs = max(epochs, -(-least_steps // -(-len(front) // BATCH)))
     for epoch in range(epochs):
@@ -138,30 +179,9 @@ def fit(rows: list[tuple[str, int]], most_words: int = 2048, epochs: int = 5, le
         shuffled = random.permutation(front)
         for k in range(0, len(shuffled), BATCH):
             which = shuffled[k:k + BATCH]
-            batch = texts(which)
-            first, size, text = batch.windows()
-            if not len(first):
-                continue
-            rows_of = batch.rows(model.kept)
-            rows_of = np.where(random.random(len(rows_of)) < 0.1, 0, rows_of)  # some words are seen by their characters alone
-            inputs = gru.word_inputs(model.params, rows_of, batch.grams, batch.begins)
-            index, inside = batch.grid(first, size)
-            z, kept = gru.forward(model.params, inputs, index, inside, keep=True)
-            top = np.full(len(which), -np.inf)
-            np.maximum.at(top, text, z)
-            e = np.exp(z - top[text])
-            total = np.bincount(text, e, len(which))
-            share = e / total[text]
-            soft = np.where(np.isfinite(top), top + np.log(np.maximum(total, 1e-9)), 0)
-            d = (gru.sigmoid(soft) - y[which])[text] * share / len(which)
-            grads, dwords = gru.backward(model.params, inputs, index, inside, kept, d.astype(np.float32))
-            gw, gc = np.zeros_like(model.params["word"]), np.zeros_like(model.params["char"])
-            np.add.at(gw, rows_of, dwords[:, :gru.WORD_DIM])
-            sizes = np.diff(np.append(batch.begins, len(batch.grams)))
-            share = np.repeat(dwords[:, gru.WORD_DIM:] / sizes[:, None], sizes, axis=0)
-            for k in range(2):
-                np.add.at(gc[k], batch.grams[:, k], share[:, k * gru.CHAR_DIM:(k + 1) * gru.CHAR_DIM])
-            adam.step(grads | {"word": gw, "char": gc})
+            grads = _step(model, texts(which), y[which], random)
+            if grads is not None:
+                adam.step(grads)
     z = _logits(model, texts(back))
     ok = np.isfinite(z)
     model.scale, model.shift = _calibrated(z[ok], y[back][ok])
@@ -191,7 +211,7 @@ def held_out(doc_id) -> bool:
     return zlib.crc32(str(doc_id).encode()) % FOLDS == HELD_OUT
 
 
-def train(docs: DataFrame, labels: DataFrame, most_docs: int = 2400, most_words: int = 2048, all_folds: bool = False) -> Model:
+def train(docs: DataFrame, labels: DataFrame, most_docs: int = 2400, all_folds: bool = False) -> Model:
     """Fits on labelled rows outside the held-out fold (with all_folds, on all).  Half of most_docs of each class, by hash of doc_id."""
     known = labels.select("doc_id", "toxic").filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     if not all_folds:
@@ -200,7 +220,7 @@ def train(docs: DataFrame, labels: DataFrame, most_docs: int = 2400, most_words:
     picked = F.broadcast(picked[0].union(picked[1]))  # at most most_docs rows
     texts = id_text(docs).join(picked, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     rows = sorted(tuple(r) for r in texts.collect())
-    return fit([(text, toxic) for _, toxic, text in rows], most_words)
+    return fit([(text, toxic) for _, toxic, text in rows])
 
 
 def _scores(model: Model, texts: pa.Array) -> np.ndarray:
