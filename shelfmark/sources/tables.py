@@ -24,7 +24,7 @@ from shelfmark.sources.work import file_system, remove, saved, work_path
 LAYOUT = {"catalog": schemas.CATALOG, "sources": schemas.SOURCES}
 
 
-BUCKETS = 64  # fixed by the layout of stored catalogs
+BUCKETS = 16  # fixed by the layout of stored catalogs
 FAN = 8
 BITS = 32768  # of one bitmap
 BITS_PER_KEY = 16
