@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import flat, id_text
+from shelfmark.llm.common import flat, free_names, id_text
 from shelfmark.llm.words import ALNUM, LOWER, groups, window_hashes, words
 
 MOST_BYTES = 32 << 20  # benchmark text that is broadcast: about ten times as much as a hash set
@@ -179,11 +179,11 @@ def _runs(hit: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple[i
     return [(int(starts[a]), int(ends[b])) for a, b in zip(first, last, strict=True)]
 
 
-def _cut_places(text: str, schema):
+def _cut_places(text: str, schema, name: str):
     """As remove_leaks, for rows that carry the places of their hits."""
     def run(batches):
         for batch in batches:
-            texts, places = batch.column(text), batch.column("__places").to_pylist()
+            texts, places = batch.column(text), batch.column(name).to_pylist()
             new, keep = texts.to_pylist(), []
             for i, found in enumerate(places):
                 if not found:
@@ -207,10 +207,11 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 10, most_by
     are left go.  A null text stays null."""
     items = _items(benchmark)
     if not _fits(items, most_bytes):
-        hits = _joined(id_text(docs), items, width).select("d", "g", F.col("places").alias("__places"))
-        keyed = docs.withColumn("__h", F.xxhash64(F.coalesce("text", F.lit(""))))
-        both = keyed.join(hits, F.col("doc_id").cast("long").eqNullSafe(F.col("d")) & (F.col("__h") == F.col("g")), "left").select(*docs.columns, "__places")
-        return both.mapInArrow(_cut_places("text", docs.columns), docs.schema)
+        doc, group, own, places = free_names(docs.columns, "hit_doc", "hit_group", "own_group", "hit_places")
+        hits = _joined(id_text(docs), items, width).select(F.col("d").alias(doc), F.col("g").alias(group), F.col("places").alias(places))
+        keyed = docs.withColumn(own, F.xxhash64(F.coalesce("text", F.lit(""))))
+        both = keyed.join(hits, F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(group)), "left").select(*docs.columns, places)
+        return both.mapInArrow(_cut_places("text", docs.columns, places), docs.schema)
     shared = _windows(items, width)
 
     def run(batches):

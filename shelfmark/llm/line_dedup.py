@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import delete, written
+from shelfmark.llm.common import delete, free_names, written
 
 LEAST_WORDS, NEAR_WORDS = 3, 8
 _LAST = 9223372036854775807  # stands for a missing doc_id
@@ -108,12 +108,13 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: i
 def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: int = NEAR_WORDS, counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """docs with the lines cut out of text, and two more columns (a column of such a name is replaced): lines before, and lines removed."""
     docs = docs.drop(*counts)
-    gone = removed_lines(docs, least_words, near_words).select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("places").alias("__places"))
-    mine = (F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST)) == F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__h"))
-    left = F.filter(_lines("text"), lambda x, i: ~F.array_contains("__places", i))
+    doc, group, places = free_names(docs.columns, "line_doc", "line_group", "line_places")
+    gone = removed_lines(docs, least_words, near_words).select(F.col("id").alias(doc), F.col("h").alias(group), F.col("places").alias(places))
+    mine = (F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST)) == F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(group))
+    left = F.filter(_lines("text"), lambda x, i: ~F.array_contains(F.col(places), i))
     left = F.when(F.exists(left, lambda x: F.trim(x) != ""), F.array_join(left, "\n")).otherwise(F.lit(""))
-    hit = F.col("__places").isNotNull()
+    hit = F.col(places).isNotNull()
     return docs.join(gone, mine, "left").select(
         *[F.when(hit, left).otherwise(F.col("text")).alias("text") if c == "text" else F.col(c) for c in docs.columns],
         F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(_lines("text"))).cast("long").alias(counts[0]),
-        F.when(hit, F.size("__places")).otherwise(F.lit(0)).cast("long").alias(counts[1]))
+        F.when(hit, F.size(places)).otherwise(F.lit(0)).cast("long").alias(counts[1]))

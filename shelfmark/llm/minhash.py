@@ -1,9 +1,10 @@
 """Near-dedup by MinHash with sequential Bayesian verification.
 
 A document is the set of its distinct 5-word shingles (words: lower-cased A-Z, split at ASCII white space); fewer words are one shingle.
-Signatures have 256 values, of which 32 bands of four find candidates: a pair at the threshold shares no band with a probability below 1e-10.  Documents with equal sets
+Signatures have 256 values, of which 32 bands of four find candidates: a pair at a threshold of 0.85 shares no band with a probability below 1e-10, at 0.8 below 1e-7.  Documents with equal sets
 are one class.  Members of a bucket are compared in blocks of bounded size: after each 64 signature values a pair goes if the posterior
-probability (uniform prior) that it reaches the threshold is below `miss`; of those that are left the full sets decide.  A block reports
+probability (uniform prior) that it reaches the threshold is below `miss`; of those that are left the full sets decide (of 64-bit
+hashes of the shingles: two of a pair of ten thousand shingles each collide once in 1e11 such pairs).  A block reports
 links that join its documents, not every linked pair, and components are found over all blocks.
 
 Null and empty texts, and texts of white space only, have no shingles and are linked with nothing; each is its own component.  A row without a

@@ -113,11 +113,14 @@ def _unsure(at: np.ndarray, kind: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 class Memo:
-    """Value list of each distinct pre-token: an open-addressing table over its hash, checked by its length, first and last 8 bytes.
+    """Value list of each distinct pre-token: an open-addressing table over its hash, checked by its whole content: the first and last 8 bytes,
+    and for those of more than 16 the bytes themselves, which are kept.
 
-    Emptied when it holds `most` entries, so memory is bounded; that changes what is computed again, never a result.
+    Emptied when it holds `most` entries or MOST_BYTES of long ones, so memory is bounded; that changes what is computed again, never a result.
     """
 
+    MOST_BYTES = 32 << 20
+
     def __init__(self, compute: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], bits: int = 20):
         self.compute, self.bits, self.most = compute, bits, (1 << bits) * 6 // 10
         self.clear()
@@ -126,6 +129,7 @@ class Memo:
         self.slot = np.full(1 << self.bits, -1, np.int32)
         self.keys, self.heads, self.tails, self.sizes = (np.zeros(0, np.uint64) for _ in range(4))
         self.starts, self.lengths, self.values = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.long, self.long_at = np.zeros(0, np.uint8), np.zeros(0, np.int64)
 
     def _find(self, h: np.ndarray) -> np.ndarray:
         mask = np.uint64(len(self.slot) - 1)
@@ -165,7 +169,7 @@ class Memo:
         entry = self._find(h)
         lost = np.flatnonzero(entry < 0)
         if len(lost):
-            if len(self.keys) + len(lost) > self.most:
+            if len(self.keys) + len(lost) > self.most or len(self.long) > self.MOST_BYTES:
                 self.clear()
                 lost = np.arange(len(h))
             keys, one = np.unique(h[lost], return_index=True)
@@ -182,9 +186,19 @@ class Memo:
             self.values = np.concatenate([self.values, values])
             self.keys = np.concatenate([self.keys, keys])
             self.heads, self.tails, self.sizes = (np.concatenate([x, y[one]]) for x, y in ((self.heads, head), (self.tails, tail), (self.sizes, size)))
+            big = np.where(size[one] > 16, ends[one] - starts[one], 0)
+            self.long_at = np.concatenate([self.long_at, np.cumsum(big) - big + len(self.long)])
+            if big.any():
+                self.long = np.concatenate([self.long, data[ragged(big, starts[one])]])
             self._insert(keys, before)
             entry = self._find(h)
-        return entry, (self.heads[entry] != head) | (self.tails[entry] != tail) | (self.sizes[entry] != size)
+        other = (self.heads[entry] != head) | (self.tails[entry] != tail) | (self.sizes[entry] != size)
+        big = np.flatnonzero((size > 16) & ~other)
+        if len(big):
+            sizes = ends[big] - starts[big]
+            equal = data[ragged(sizes, starts[big])] == self.long[ragged(sizes, self.long_at[entry[big]])]
+            other[big] = ~np.logical_and.reduceat(equal, np.cumsum(sizes) - sizes)
+        return entry, other
 
     def gather(self, entry: np.ndarray) -> np.ndarray:
         return self.values[ragged(self.lengths[entry], self.starts[entry])]

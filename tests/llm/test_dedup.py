@@ -212,3 +212,17 @@ def test_lines_are_brute_force(spark):
 def test_equal_rows_of_one_doc_id_both_keep_their_lines(spark):
     text = "one two three four"
     assert [x.text for x in dedup_lines(frame(spark, [(1, text), (1, text)])).collect()] == [text, text]
+
+
+def test_built_words_are_not_taken_for_equal(spark):
+    word = lambda x: "".join(x[bin(i).count("1") % 2] for i in range(1024))
+    docs = spark.createDataFrame([(1, word("ab")), (2, word("ba")), (3, word("ab") + " a b c d"), (4, word("ba") + " a b c d")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_duplicates(docs).collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
+
+
+def test_lines_of_tables_with_any_columns(spark):
+    rows = [(1, "the same line here\nown words", "a", 1, 2, 3), (2, "the same line here\nother words", "b", 4, 5, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id string, line_doc int, line_group_ int, line_places int")
+    done = dedup_lines(docs)
+    assert done.columns[:6] == docs.columns and sorted(tuple(r)[:6] for r in done.collect()) == [rows[0], (2, "other words", "b", 4, 5, 6)]
+    assert dedup_lines(docs.limit(0)).count() == 0

@@ -100,6 +100,15 @@ def test_leaks_are_brute_force(spark, most):
     assert {r.n_hit for r in leaks(docs, benchmark.limit(0), most_bytes=most).collect()} == {0}
 
 
+@pytest.mark.parametrize("most", [1 << 25, 0])
+def test_leaks_of_tables_with_any_columns(spark, most):
+    item = "one two three four five six seven eight nine ten"
+    rows = [(1, "a " + item + " b", 1, 2, 3, 4), (2, "clean", 5, 6, 7, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, d int, g int, hit_doc int, hit_places_ int")
+    done = remove_leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string"), most_bytes=most)
+    assert done.columns == docs.columns and sorted(map(tuple, done.collect())) == [(1, "a  b", 1, 2, 3, 4), rows[1]]
+
+
 @pytest.mark.parametrize("most", [1 << 25, 0])
 def test_leaks_are_cut_out_and_clean_rows_stay(spark, most):
     item = "one two three four five six seven eight nine ten eleven"

@@ -113,3 +113,30 @@ def test_a_seed_is_followed_by_its_nearest_neighbour():
     docs = [r.choice(topics[k % 6], 20) for k in range(12)]
     pieces = [p for p in pack(docs, length=40) if p[3] == 0]
     assert [p[0] for p in pieces] == [0, 6]
+
+
+def thue_morse(n, letters):
+    """A word and its complement: sums of products over their letters agree, whatever the factors."""
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_built_words_keep_their_own_ids(spark, tmp_path):
+    words = ["q" * 8 + thue_morse(4096, x) + "q" * 8 for x in ("ab", "ba")] + [thue_morse(1024, x) for x in ("xy", "yx")]
+    library = tokenizers.Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string").coalesce(1)
+    write_tokens(docs, f"file://{tmp_path}/t", P.path("byte_bpe_50k.json"), end_id=0)
+    assert {r.doc_id: r.ids[:-1] for r in read_tokens(spark, f"file://{tmp_path}/t").collect()} == {i: library.encode(w).ids for i, w in enumerate(words)}
+    counts = tokenizers.Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    got = {r.doc_id: r.n_tokens for r in token_counts(docs, P.path("word_bpe_49k.json"), limit=2048).collect()}
+    assert got == {i: len(counts.encode(w, add_special_tokens=False).ids) for i, w in enumerate(words)}
+
+
+def test_a_pre_token_is_compared_whole(monkeypatch):
+    from shelfmark.llm import pretokens
+
+    monkeypatch.setattr(pretokens, "span_hashes", lambda data, starts, ends: np.full(len(starts), 7, np.uint64))
+    texts = [b"a" * 10 + bytes([c]) * 20 + b"z" * 10 for c in b"xy"]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    memo = pretokens.Memo(lambda words: (np.ones(len(words), np.int64), np.array([w[15] for w in words], np.int32)))
+    entry, other = memo.look_up(data, np.array([0, 40, 0]), np.array([40, 80, 40]))
+    assert other.tolist() == [False, True, False] and memo.gather(entry[:1]).tolist() == [ord("x")]
