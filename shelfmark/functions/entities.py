@@ -19,6 +19,15 @@ def _table(entries: dict) -> Column:
     return F.from_json(F.lit(json.dumps(entries)), "map<string,string>")
 
 
+def _named(name: Column) -> Column:
+    """What a name stands for.  A map is searched entry by entry, so names are kept by their first letter."""
+    by_letter: dict[str, dict[str, str]] = {}
+    for n, c in html5.items():
+        by_letter.setdefault(n[0], {})[n] = c
+    table = F.from_json(F.lit(json.dumps(by_letter)), "map<string,map<string,string>>")
+    return F.try_element_at(F.try_element_at(table, F.substring(name, 1, 1)), name)
+
+
 def _character(code: Column) -> Column:
     """A code point as text; what numeric references may not name becomes what browsers show for it."""
     old = {n: bytes([n]).decode("cp1252", "replace") for n in range(0x80, 0xA0)}
@@ -33,7 +42,7 @@ def _decoded(ref: Column) -> Column:
     decimal = F.regexp_extract(ref, "^&#([0-9]+)", 1).try_cast("bigint").try_cast("int")
     hexadecimal = F.when(F.length(F.regexp_extract(ref, "^&#[xX]0*([0-9a-fA-F]*)", 1)) <= 7, F.conv(F.regexp_extract(ref, "^&#[xX]([0-9a-fA-F]+)", 1), 16, 10).try_cast("int"))
     name = F.substring(ref, 2, 64)
-    known = F.try_element_at(_table(html5), name)
+    known = _named(name)
     prefix = F.regexp_extract(name, f"^(?:{_BARE})", 0)
     begun = F.when(prefix != "", F.concat(F.try_element_at(_table({n: c for n, c in html5.items() if not n.endswith(";")}), prefix), F.substr(ref, F.length(prefix) + 2)))
     return (F.when(ref == "&amp;", "&").when(ref.rlike("^&#[xX]"), _character(hexadecimal)).when(ref.startswith("&#"), _character(decimal))
@@ -44,4 +53,5 @@ def unescape(c: Column) -> Column:
     """Decimal, hexadecimal and named references decoded; same result as the standard library's html.unescape."""
     gaps, refs = F.split(c, _REFERENCE, -1), F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0))
     both = F.zip_with(gaps, F.transform(refs, _decoded), lambda gap, ref: F.concat(gap, F.coalesce(ref, F.lit(""))))
-    return F.when(F.contains(c, F.lit("&")), F.array_join(both, "")).otherwise(c)
+    return (F.when(~F.contains(c, F.lit("&")), c).when(~c.rlike("&(?!amp;)"), F.replace(c, F.lit("&amp;"), F.lit("&")))
+            .otherwise(F.array_join(both, "")))

@@ -11,7 +11,7 @@ from shelfmark.functions import text as t
 _PARTS = r"^([a-zA-Z][a-zA-Z0-9+.-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 
 
-def _parts(url: Column) -> Column:
+def parts(url: Column) -> Column:
     """[scheme, host, path, query, fragment], each with its own punctuation, '' where absent."""
     return F.split(F.regexp_replace(url, _PARTS, "$1\x00$2\x00$3\x00$4\x00$5"), "\x00", 5)
 
@@ -27,14 +27,18 @@ def _without_dots(path: Column) -> Column:
     return F.array_join(F.concat(kept, tail), "/")
 
 
-def resolve(base: Column, link: Column) -> Column:
-    """``link`` as seen from the page at ``base``; same result as the standard library's urljoin."""
+def resolve(base: Column, link: Column, base_parts: Column | None = None) -> Column:
+    """``link`` as seen from the page at ``base``; same result as the standard library's urljoin.
+
+    For many links of one page, ``base_parts`` is ``parts(base)`` taken once.
+    """
     given = F.regexp_replace(link, r"^[\x00-\x20]+|[\t\r\n]", "")
-    parts = t.let(given, lambda u: F.struct(u.alias("link"), base.alias("base"), _parts(u).alias("l"), _parts(base).alias("b")))
+    taken = t.let(given, lambda u: F.struct(u.alias("link"), base.alias("base"), parts(u).alias("l"), (parts(base) if base_parts is None else base_parts).alias("b")))
     # The two shapes nearly all links have need no taking apart.
     return (F.when(link.isNull(), link).when(link.rlike(r"^https?://[^\t\r\n]*\z"), link)
-            .when(link.rlike(r"^(?!//|[^?#]*/\.)/[^\t\r\n]*\z"), F.concat(F.regexp_extract(base, r"^[^:/?#]+://[^/?#]*", 0), link))
-            .otherwise(t.let(parts, _joined)))
+            .when(link.rlike(r"^(?!//|[^?#]*/\.)/[^\t\r\n]*\z"),
+                  F.concat(F.regexp_extract(base, r"^[^:/?#]+://[^/?#]*", 0) if base_parts is None else F.concat(base_parts[0], base_parts[1]), link))
+            .otherwise(t.let(taken, _joined)))
 
 
 def _joined(p: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import text as t
 from shelfmark.functions.entities import unescape
 from shelfmark.functions.patterns import java
-from shelfmark.functions.urls import resolve
+from shelfmark.functions.urls import parts, resolve
 from shelfmark.operators.quality import first_per
 from shelfmark.operators.shred import from_html
 from shelfmark.profiles import SourceProfile
@@ -21,36 +21,53 @@ RUN = ["run_id", "source"]
 # Comments, scripts and styles hold no links; then every start tag <a …>.
 _HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
 _ANCHOR = r"(?is)<a(?=[\s/])((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
-_HREF = r"(?is)(?:^|[\s/\"'])href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))"
+_HREF = r"(?is)(?:^|[\s/\"'])href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)"
 
 _BASE = _ANCHOR.replace("<a(", "<base(")
 
 
 def _href(tag: Column) -> Column:
-    return unescape(F.concat(*[F.regexp_extract(tag, _HREF, i) for i in (1, 2, 3)]))
+    """The value of a tag's href, without its quotes."""
+    given = F.regexp_extract(tag, _HREF, 1)
+    return unescape(t.let(given, lambda v: F.when(v.rlike(r"(?s)^([\"']).*\1\z"), F.substr(v, F.lit(2), F.length(v) - 2)).otherwise(v)))
+
+
+def visible(html: Column) -> Column:
+    """The page without comments, scripts and styles."""
+    return F.regexp_replace(html, _HIDDEN, " ")
+
+
+def _tags(page: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(page, F.lit(pattern), F.lit(1))
 
 
 def anchor_hrefs(html: Column) -> Column:
     """All href values of anchors, in document order; JVM-side, no page parse."""
-    tags = F.regexp_extract_all(F.regexp_replace(html, _HIDDEN, " "), F.lit(_ANCHOR), F.lit(1))
-    return F.filter(F.transform(tags, _href), lambda u: u != "")
+    return F.filter(F.transform(_tags(visible(html), _ANCHOR), _href), lambda u: u != "")
 
 
-def page_base(url: Column, html: Column) -> Column:
-    """What the page's links are relative to: its first ``base`` element with an href, else its own url."""
-    tags = F.when(F.contains(F.lower(html), F.lit("<base")), F.regexp_extract_all(F.regexp_replace(html, _HIDDEN, " "), F.lit(_BASE), F.lit(1)))
-    first = F.get(F.filter(F.transform(tags, _href), lambda u: u != ""), F.lit(0))
-    return F.when(first.isNull(), url).otherwise(resolve(url, first))
+def _first_base(page: Column) -> Column:
+    """The href of the page's first ``base`` element that has one."""
+    found = F.filter(F.transform(_tags(page, _BASE), _href), lambda u: u != "")
+    return F.when(page.rlike("(?i)<base"), F.get(found, F.lit(0)))
 
 
 def product_links(pages: DataFrame, profile: SourceProfile) -> DataFrame:
-    """One row per distinct product link of a page: (run, source, seq, url, link_url)."""
+    """One row per distinct product link of a page: (run, source, seq, url, link_url).
+
+    Links are relative to the page's base element, else to its own url.  A page's hidden parts are taken out once, its base is taken apart
+    once, and only tags that may name a product, as written or in character references, are looked into.
+    """
     wanted = lambda u: t.contains_any(u, profile.product_markers)
-    hrefs = F.array_distinct(F.filter(anchor_hrefs(F.col("html")), wanted))
-    urls = F.array_distinct(F.transform("hrefs", lambda u: resolve(F.col("base"), u)))
-    return (pages.filter((F.col("source") == profile.source) & (F.col("status") == 200))
-            .select(*RUN, "seq", "url", hrefs.alias("hrefs"), page_base(F.col("url"), F.col("html")).alias("base"))
-            .filter(F.size("hrefs") > 0).select(*RUN, "seq", "url", F.explode(urls).alias("link_url")))
+    mine = (pages.filter((F.col("source") == profile.source) & (F.col("status") == 200))
+            .select(*RUN, "seq", "url", visible(F.col("html")).alias("page")))
+    tags = F.filter(_tags(F.col("page"), _ANCHOR), lambda tag: wanted(tag) | tag.contains("&"))
+    found = mine.select(*RUN, "seq", "url", F.array_distinct(F.filter(F.transform(tags, _href), wanted)).alias("hrefs"),
+                        _first_base(F.col("page")).alias("named")).filter(F.size("hrefs") > 0)
+    based = found.withColumn("base", F.when(F.col("named").isNull(), F.col("url")).otherwise(resolve(F.col("url"), F.col("named"))))
+    placed = based.withColumn("base_parts", parts(F.col("base")))
+    urls = F.array_distinct(F.transform("hrefs", lambda u: resolve(F.col("base"), u, F.col("base_parts"))))
+    return placed.select(*RUN, "seq", "url", F.explode(urls).alias("link_url"))
 
 
 def first_seen(links: DataFrame) -> DataFrame:
@@ -105,16 +122,16 @@ def _candidates(listing: DataFrame, profile: SourceProfile) -> DataFrame:
                         F.lit(kind).alias("kind"), url.alias("next_url"))
 
     single = lambda name: t.truthy(F.get(h[name], F.lit(0)))
-    parts = [F.array(entry(1, i, 0, "next", resolve(F.col("base"), single(f"next_{i}")))) for i in range(len(profile.next_link))]
+    rows = [F.array(entry(1, i, 0, "next", resolve(F.col("base"), single(f"next_{i}")))) for i in range(len(profile.next_link))]
 
     def onward(i: int) -> Column:
         urls = F.transform(F.filter(h[f"numbered_{i}"], lambda u: u != ""), lambda u: resolve(F.col("base"), u))
         return F.transform(urls, lambda u, at: F.when(page_number(u, profile) > F.col("here"), entry(2, i, at, "number", u)))
 
-    parts += [onward(i) for i in range(len(profile.numbered_link))]
-    parts.append(F.array(entry(3, 0, 0, "constructed", constructed_next(F.col("url"), profile))))
-    parts += [F.array(entry(4, i, 0, "load_more", resolve(F.col("base"), single(f"more_{i}")))) for i in range(len(profile.load_more))]
-    usable = F.filter(F.concat(*parts), lambda c: c["next_url"].isNotNull() & (c["next_url"] != F.col("url")))
+    rows += [onward(i) for i in range(len(profile.numbered_link))]
+    rows.append(F.array(entry(3, 0, 0, "constructed", constructed_next(F.col("url"), profile))))
+    rows += [F.array(entry(4, i, 0, "load_more", resolve(F.col("base"), single(f"more_{i}")))) for i in range(len(profile.load_more))]
+    usable = F.filter(F.concat(*rows), lambda c: c["next_url"].isNotNull() & (c["next_url"] != F.col("url")))
     return pages.select(*RUN, "seq", "url", F.explode(usable).alias("c")).select(*RUN, "seq", "url", "c.*")
 
 

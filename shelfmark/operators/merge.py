@@ -6,7 +6,7 @@ is a new row, so the table is a price history.  ``sources``: last publisher reco
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark import schemas
@@ -97,3 +97,30 @@ def merge_sources(sources: DataFrame, batch: DataFrame) -> DataFrame:
     stored = sources.select("source", "description", "url", F.lit(1).alias("is_publisher"), F.lit(-1).cast("bigint").alias("seq"),
                             "created_at", "updated_at")
     return last_write_wins(stored.unionByName(batch))
+
+
+def price_history(catalog: DataFrame, product: list[str]) -> DataFrame:
+    """When each price of a product held: from its first sighting (valid_from) until the next price was first seen (valid_to, NULL for the
+    newest).  Of prices first seen at one time the lowest comes first and holds for no time.
+
+    A product's prices, not its sightings, are what one window sorts: the catalog has one row for each.
+    """
+    order = Window.partitionBy(*product).orderBy("created_at", "price")
+    return catalog.select(*product, "price", F.col("created_at").alias("valid_from"), F.lead("created_at").over(order).alias("valid_to"),
+                          F.lag("price").over(order).alias("price_before"))
+
+
+def price_as_of(history: DataFrame, asked: DataFrame, product: list[str], at: str) -> DataFrame:
+    """`asked` with the price that held at its time `at`, NULL before the first sighting.
+
+    Sightings and questions are put in one order per product, and each question takes the last price at or before it: one shuffle and no join,
+    so a product asked for a million times meets its prices once.
+    """
+    starts = history.filter(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))).select(
+        *product, F.col("valid_from").alias("__at"), F.lit(0).alias("__kind"), F.struct("price", "valid_from").alias("__price"))
+    questions = asked.select(*product, F.col(at).alias("__at"), F.lit(1).alias("__kind"), F.struct(*[c for c in asked.columns if c not in product]).alias("__row"))
+    order = Window.partitionBy(*product).orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = F.last("__price", ignorenulls=True).over(order)
+    both = starts.unionByName(questions, allowMissingColumns=True).withColumn("__held", held).filter("__kind = 1")
+    return both.select(*[F.col(c) if c in product else F.col(f"__row.{c}").alias(c) for c in asked.columns],
+                       F.col("__held.price").alias("price"), F.col("__held.valid_from").alias("price_since"))

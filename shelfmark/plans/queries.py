@@ -325,16 +325,16 @@ WITH i AS (SELECT doc_id, lang, CASE WHEN source <> 'src1' THEN {clean('text')}
 
 @query(DOC_ITEMS + "SELECT doc_id, lang, title IS NOT NULL AS valid, CASE WHEN title IS NULL THEN 'no_title' END AS reason FROM i")
 def validated_documents(spark, sf_dir):
-    items = document_items(spark, sf_dir)
-    kept = Q.validate(items).select(F.col("seq").alias("doc_id"), F.col("source").alias("lang"), F.lit(True).alias("valid"), F.lit(None).cast("string").alias("reason"))
-    return kept.unionByName(Q.rejected(items).select(F.col("seq").alias("doc_id"), F.col("source").alias("lang"), F.lit(False).alias("valid"), "reason"))
+    return Q.checked(document_items(spark, sf_dir)).select(F.col("seq").alias("doc_id"), F.col("source").alias("lang"), F.col("reason").isNull().alias("valid"), "reason")
 
 
 @query(DOC_ITEMS + """
 SELECT min(doc_id) AS doc_id, lang, url FROM i WHERE url IS NOT NULL GROUP BY lang, url
 UNION ALL SELECT doc_id, lang, url FROM i WHERE url IS NULL""")
 def dedupe_by_url(spark, sf_dir):
-    return Q.dedupe_by_url(document_items(spark, sf_dir)).select(F.col("seq").alias("doc_id"), F.col("source").alias("lang"), "url")
+    # Only these columns are asked for, so texts stay out of the shuffle.
+    items = document_items(spark, sf_dir).select("run_id", "source", "seq", "url")
+    return Q.dedupe_by_url(items).select(F.col("seq").alias("doc_id"), F.col("source").alias("lang"), "url")
 
 
 @query("""

@@ -139,3 +139,62 @@ def catalog_loads(spark, sf_dir):
         batch = M.first_write_wins(rows.filter(F.col("seq") % 7 == load_id), M.CATALOG_KEY, ["created_at", "seq"])
         T.append(spark, root, batch, load_id, fan=3)
     return T.read_table(spark, "catalog", root).select(*CATALOG_COLUMNS)
+
+
+@query("""
+WITH k AS (SELECT 'u' || o_custkey AS url, o_orderstatus AS title, CAST(round(o_totalprice / 50000) AS decimal(10,2)) AS price, min(o_orderdate) AS valid_from FROM orders GROUP BY ALL)
+SELECT url, title, price, valid_from, lead(valid_from) OVER w AS valid_to, lag(price) OVER w AS price_before FROM k WINDOW w AS (PARTITION BY url, title ORDER BY valid_from, price)""")
+def price_intervals(spark, sf_dir):
+    """Each product's prices with the time they held, from the catalog of all orders as sightings."""
+    catalog = M.first_write_wins(order_sightings(spark, sf_dir), M.CATALOG_KEY, ["created_at", "seq"])
+    return M.price_history(catalog, ["url", "title", "source"]).drop("source")
+
+
+@query("""
+WITH k AS (SELECT 'u' || o_custkey AS url, o_orderstatus AS title, CAST(round(o_totalprice / 50000) AS decimal(10,2)) AS price, min(o_orderdate) AS valid_from FROM orders GROUP BY ALL),
+h AS (SELECT *, lead(valid_from) OVER (PARTITION BY url, title ORDER BY valid_from, price) AS valid_to FROM k),
+q AS (SELECT l_orderkey, l_linenumber, 'u' || o_custkey AS url, o_orderstatus AS title, l_shipdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT l_orderkey, l_linenumber, q.url, price, valid_from AS price_since
+FROM q LEFT JOIN h ON h.url = q.url AND h.title = q.title AND h.valid_from <= q.l_shipdate AND (h.valid_to IS NULL OR q.l_shipdate < h.valid_to)""")
+def price_at_shipping(spark, sf_dir):
+    """For every line item, the price that its order's product had when it was shipped."""
+    product = ["url", "title", "source"]
+    sightings = order_sightings(spark, sf_dir)
+    history = M.price_history(M.first_write_wins(sightings, M.CATALOG_KEY, ["created_at", "seq"]), product)
+    asked = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("seq"), "l_linenumber", "l_shipdate").join(sightings.select("seq", *product), "seq")
+    return M.price_as_of(history, asked, product, "l_shipdate").select(F.col("seq").alias("l_orderkey"), "l_linenumber", "url", "price", "price_since")
+
+
+@query("""
+SELECT CASE WHEN o_orderstatus = 'F' THEN 'comic' WHEN o_orderstatus = 'O' THEN 'series' ELSE 'publisher' END AS entity,
+       array_to_string(list_sort(list_distinct(flatten(list(list_concat(['title', 'k' || (o_custkey % 13), 'x-' || o_orderpriority], CASE WHEN o_totalprice > 400000 THEN ['price'] ELSE [] END))))), '|') AS columns
+FROM orders GROUP BY 1""")
+def csv_headers(spark, sf_dir):
+    """The header of each record kind's CSV file: all keys its records have, those outside the contract too."""
+    o = table(spark, sf_dir, "orders")
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('":1'))
+    members = F.array_compact(F.array(F.lit('"title":"t"'), quoted(F.concat(F.lit("k"), (F.col("o_custkey") % 13).cast("string"))), quoted(F.concat(F.lit("x-"), F.col("o_orderpriority"))),
+                                      F.when(F.col("o_totalprice") > 400000, F.lit('"price":[1]'))))
+    kind = F.when(F.col("o_orderstatus") == "F", "comic").when(F.col("o_orderstatus") == "O", "series").otherwise("publisher")
+    records = o.select(kind.alias("entity"), F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}")).alias("raw_json"))
+    return X.record_headers(records).select("entity", F.array_join("columns", "|").alias("columns"))
+
+
+@query("""
+SELECT CASE WHEN p_partkey % 3 = 0 THEN 'a' ELSE 'b' END AS source, count(*) AS records,
+       count(*) FILTER (p_size <> 7 AND p_partkey % 5 <> 0) AS rows_processed FROM part GROUP BY 1
+UNION ALL SELECT 'none', 0, 0""")
+def observed_export(spark, sf_dir):
+    """A run's export with its summary counted by the write itself, also for a source without records."""
+    n = F.col("p_partkey")
+    fields = {"title": F.col("p_name"), "price": F.when(F.col("p_size") != 7, F.col("p_retailprice")), "url": S.render("u{n}", n=n),
+              "scraped_at": F.when(n % 5 != 0, "2025-11-25T09:30:00+05:30")}
+    items = table(spark, sf_dir, "part").select(
+        F.lit("comic").alias("entity"), n.alias("seq"), F.to_date(F.lit("2025-11-25")).alias("run_date"), F.when(n % 3 == 0, "a").otherwise("b").alias("source"),
+        *[fields.get(c, F.lit(None)).cast(k).alias(c) for c, k in X.ITEM_FIELDS.items()])
+    path = work_path(spark, "observed")
+    told = X.write_observed(items, path, ["a", "b", "none"])
+    stored = X.read_json(spark, path).groupBy("source").agg(F.count("*").alias("stored"))
+    # The stored export bears the counts out: a source whose numbers differ would be missing.
+    counted = spark.createDataFrame(told, "source string, records long, rows_processed long").join(stored, "source", "left")
+    return counted.filter(F.coalesce("stored", F.lit(0)) == F.col("records")).select("source", "records", "rows_processed")

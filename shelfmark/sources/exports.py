@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark import schemas
 from shelfmark.functions import text as t
+from shelfmark.operators.quality import is_comic, load_reject
 from shelfmark.sources.arrays import RANGE_BYTES, read_members
 
 # Every field an exported record may carry, whatever its kind.
@@ -18,6 +19,19 @@ def write_json(items: DataFrame, path: str, mode: str = "append") -> None:
     items.write.partitionBy("run_date", "source").mode(mode).json(path)
 
 
+def write_observed(items: DataFrame, path: str, sources: list[str], mode: str = "append") -> list[dict]:
+    """Write a run's export and count it on the way: per source of the run, its records and how many of them the catalog load would process.
+
+    The counts are observed by the write itself, so the records are made and read once.  Numbers of the listed sources are all that comes back.
+    """
+    loads = is_comic() & load_reject(items).isNull()
+    of = lambda s: F.col("source") == s
+    seen = Observation()
+    counts = [c for i, s in enumerate(sources) for c in (F.count_if(of(s)).alias(f"records_{i}"), F.count_if(of(s) & loads).alias(f"processed_{i}"))]
+    write_json(items.observe(seen, *counts), path, mode)
+    return [{"source": s, "records": seen.get[f"records_{i}"], "rows_processed": seen.get[f"processed_{i}"]} for i, s in enumerate(sources)]
+
+
 def read_json(spark: SparkSession, path: str) -> DataFrame:
     """Own exports, with a fixed schema, so that partitions prune and only named fields are parsed."""
     ddl = ", ".join(f"`{c}` {k}" for c, k in ({"entity": "string", "run_id": "string", "seq": "bigint"} | ITEM_FIELDS).items())
@@ -76,6 +90,15 @@ def csv_columns(items: DataFrame) -> DataFrame:
     return items.groupBy("entity").agg(F.array_compact(F.array(*filled)).alias("columns"))
 
 
+def record_headers(records: DataFrame, raw: str = "raw_json") -> DataFrame:
+    """Per record kind, the names of all keys that some record's text has, known fields or not, by name.
+
+    Keys are made distinct before the shuffle, so a task sends each name once; nothing is collected.
+    """
+    keys = records.select("entity", F.explode(F.json_object_keys(raw)).alias("key")).distinct()
+    return keys.groupBy("entity").agg(F.array_sort(F.collect_list("key")).alias("columns"))
+
+
 def csv_table(items: DataFrame, entity: str, columns: list[str]) -> DataFrame:
     """One record kind flattened for CSV: the given columns by name, lists joined.  Runs nothing."""
     kinds = dict(items.dtypes)
