@@ -9,6 +9,8 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfmark.functions import text as t
+
 _REFERENCE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?"
 # Names that count without a semicolon too; the longest one wins.
 _BARE = "|".join(sorted((re.escape(n) for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
@@ -42,15 +44,20 @@ def _decoded(ref: Column) -> Column:
     decimal = F.regexp_extract(ref, "^&#([0-9]+)", 1).try_cast("bigint").try_cast("int")
     hexadecimal = F.when(F.length(F.regexp_extract(ref, "^&#[xX]0*([0-9a-fA-F]*)", 1)) <= 7, F.conv(F.regexp_extract(ref, "^&#[xX]([0-9a-fA-F]+)", 1), 16, 10).try_cast("int"))
     name = F.substring(ref, 2, 64)
-    known = _named(name)
-    prefix = F.regexp_extract(name, f"^(?:{_BARE})", 0)
-    begun = F.when(prefix != "", F.concat(F.try_element_at(_table({n: c for n, c in html5.items() if not n.endswith(";")}), prefix), F.substr(ref, F.length(prefix) + 2)))
-    return (F.when(ref == "&amp;", "&").when(ref.rlike("^&#[xX]"), _character(hexadecimal)).when(ref.startswith("&#"), _character(decimal))
+    known = t.let(name, _named)
+    short = _table({n: c for n, c in html5.items() if not n.endswith(";")})
+    begun = t.let(F.regexp_extract(name, f"^(?:{_BARE})", 0),
+                  lambda prefix: F.when(prefix != "", F.concat(F.try_element_at(short, prefix), F.substr(ref, F.length(prefix) + 2))))
+    return (F.when(ref == "&amp;", "&").when(ref.rlike("^&#[xX]"), t.let(hexadecimal, _character)).when(ref.startswith("&#"), t.let(decimal, _character))
             .otherwise(F.coalesce(known, begun, ref)))
 
 
 def unescape(c: Column) -> Column:
     """Decimal, hexadecimal and named references decoded; same result as the standard library's html.unescape."""
+    return t.let(c, _unescaped)
+
+
+def _unescaped(c: Column) -> Column:
     gaps, refs = F.split(c, _REFERENCE, -1), F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0))
     both = F.zip_with(gaps, F.transform(refs, _decoded), lambda gap, ref: F.concat(gap, F.coalesce(ref, F.lit(""))))
     return (F.when(~F.contains(c, F.lit("&")), c).when(~c.rlike("&(?!amp;)"), F.replace(c, F.lit("&amp;"), F.lit("&")))
