@@ -21,13 +21,18 @@ def _table(entries: dict) -> Column:
     return F.from_json(F.lit(json.dumps(entries)), "map<string,string>")
 
 
-def _named(name: Column) -> Column:
-    """What a name stands for.  A map is searched entry by entry, so names are kept by their first letter."""
-    by_letter: dict[str, dict[str, str]] = {}
-    for n, c in html5.items():
-        by_letter.setdefault(n[0], {})[n] = c
-    table = F.from_json(F.lit(json.dumps(by_letter)), "map<string,map<string,string>>")
-    return F.try_element_at(F.try_element_at(table, F.substring(name, 1, 1)), name)
+def _listed(entries: dict[str, str]) -> str:
+    """Names and what they stand for as one text, so that the plan holds one literal instead of thousands."""
+    return "".join(f"\x00{n}\x01{c}" for n, c in entries.items()) + "\x00"
+
+
+_NAMES, _BARE_NAMES = _listed(html5), _listed({n: c for n, c in html5.items() if not n.endswith(";")})
+
+
+def _named(name: Column, listed: str = _NAMES) -> Column:
+    """What a name stands for, NULL for others."""
+    at = F.instr(F.lit(listed), F.concat(F.lit("\x00"), name, F.lit("\x01")))
+    return t.let(at, lambda i: F.when(i > 0, F.substring_index(F.substr(F.lit(listed), i + F.length(name) + 2, F.lit(4)), "\x00", 1)))
 
 
 def _character(code: Column) -> Column:
@@ -44,10 +49,9 @@ def _decoded(ref: Column) -> Column:
     decimal = F.regexp_extract(ref, "^&#([0-9]+)", 1).try_cast("bigint").try_cast("int")
     hexadecimal = F.when(F.length(F.regexp_extract(ref, "^&#[xX]0*([0-9a-fA-F]*)", 1)) <= 7, F.conv(F.regexp_extract(ref, "^&#[xX]([0-9a-fA-F]+)", 1), 16, 10).try_cast("int"))
     name = F.substring(ref, 2, 64)
-    known = t.let(name, _named)
-    short = _table({n: c for n, c in html5.items() if not n.endswith(";")})
+    known = t.let(name, lambda n: _named(n))
     begun = t.let(F.regexp_extract(name, f"^(?:{_BARE})", 0),
-                  lambda prefix: F.when(prefix != "", F.concat(F.try_element_at(short, prefix), F.substr(ref, F.length(prefix) + 2))))
+                  lambda prefix: F.when(prefix != "", F.concat(_named(prefix, _BARE_NAMES), F.substr(ref, F.length(prefix) + 2))))
     return (F.when(ref == "&amp;", "&").when(ref.rlike("^&#[xX]"), t.let(hexadecimal, _character)).when(ref.startswith("&#"), t.let(decimal, _character))
             .otherwise(F.coalesce(known, begun, ref)))
 

@@ -64,11 +64,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows dealt anew, for rules that cost far more than their bytes suggest: a file of one row group is one task otherwise."""
-    return rows.repartition(*keys)
-
-
 # ---- pages: scan, titles, hosts -------------------------------------------------------------
 
 @query(f"""
@@ -142,7 +137,7 @@ def new_links_per_page(spark, sf_dir):
 
 def based_pages(spark: SparkSession, sf_dir: str, shop) -> DataFrame:
     """A listing page per order: some have a base element, and every link is written with character references."""
-    o, n = dealt(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), "o_orderkey"), F.col("o_orderkey")
+    o, n = S.dealt(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), "o_orderkey"), F.col("o_orderkey")
     base = F.when(F.col("o_orderstatus") == "F", F.lit('<head><base target="_top"><base href="https://shop.example/"></head>')).when(
         F.col("o_orderstatus") == "P", F.lit("<head><BASE HREF='/sub/'></head>"))
     path = "shop/product/p{n}/?a=1&#038;b=&eacute;&#x26;c={c}" if shop is PRESS else "index.php?route=product/product&amp;product_id={n}&#x26;c=&#{c};"
@@ -209,7 +204,7 @@ def url_resolution(spark, sf_dir):
     link = (F.when(F.col("l_returnflag") == "A", S.render("../{p}/./{s}", p=F.col("l_partkey"), s=F.col("l_suppkey")))
             .when(F.col("l_returnflag") == "N", S.render("/{s}?q={p}", p=F.col("l_partkey"), s=F.col("l_suppkey")))
             .otherwise(S.render("//cdn.example/{p}", p=F.col("l_partkey"))))
-    rows = dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_partkey", "l_suppkey"), "l_orderkey", "l_linenumber")
+    rows = S.dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_partkey", "l_suppkey"), "l_orderkey", "l_linenumber")
     return rows.select("l_orderkey", "l_linenumber", resolve(base, link).alias("resolved"),
                        resolve(base, S.render("#{n}", n=F.col("l_linenumber"))).alias("fragment"))
 
@@ -419,7 +414,7 @@ def price_pair_topk(spark, sf_dir):
     texts = [F.concat(F.lit("₹"), F.format_number(c, 2)) for c in (F.col("l_quantity"), F.round(F.col("l_discount") * 100), F.col("l_suppkey").cast("double"))]
     none = F.array().cast("array<string>")
     page = F.struct(F.array(*texts).alias("price_all"), *[none.alias(n) for n in ("price_was", "price_cut", "price_plain")])
-    rows = dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_suppkey"), "l_orderkey", "l_linenumber")
+    rows = S.dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_suppkey"), "l_orderkey", "l_linenumber")
     prices = woo_prices(rows.select("l_orderkey", "l_linenumber", page.alias("h")))
     return prices.select("l_orderkey", "l_linenumber", "original_price", "price")
 

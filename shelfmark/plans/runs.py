@@ -44,7 +44,7 @@ def export_ranges(spark, sf_dir):
 
 def chained_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages of twenty runs, page k of a run at the k-th of its orders; each links the next page, or one two or three further on."""
-    o = table(spark, sf_dir, "orders").repartition("o_orderkey")
+    o = S.dealt(table(spark, sf_dir, "orders"), "o_orderkey")
     run, k, p = F.col("o_orderkey") % 20, F.floor(F.col("o_orderkey") / 20), F.col("o_orderpriority")
     second = F.when(F.col("o_orderstatus") != "F", S.render("/product/order-{n}/", n=F.col("o_orderkey"))).otherwise(F.lit("/about/"))
     paging = (F.when(p == "1-URGENT", S.render('<a class="next" href="/shop/page/{n}/">next</a>', n=k + 1))

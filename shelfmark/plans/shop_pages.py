@@ -32,6 +32,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt anew over at least all cores, for rules that cost far more than their bytes suggest: a file of one row group is one task
+    otherwise, and an exchange without a number is drawn together by its bytes."""
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()), *keys)
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts with the document of the same number as their story, and the words the page rules look for."""
     part = read(spark, sf_dir, "part").withColumns({
@@ -40,8 +46,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         "form": F.when(F.col("p_type") == "LARGE", "Hardcover").when(F.col("p_type") == "ECONOMY", "Paper Back"),
         "brand_no": F.regexp_extract("p_brand", r"\d+", 0)})
     stories = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("p_partkey"), "text")
-    # Parsing costs far more than the bytes suggest, so the rows are dealt anew; the engine sizes the shares.
-    return part.join(stories, "p_partkey", "left").repartition("p_partkey")
+    return dealt(part, "p_partkey").join(stories, "p_partkey", "left")
 
 
 PRESS_HTML = """<html><head><title>{title}</title></head><body><h1 class="product_title entry-title"> {title}
@@ -103,7 +108,7 @@ href="/product/customer-{cust}/">c</a><li class="product"><a href='{second}'>o</
 
 def listing_pages(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """One listing page per order; a run per order month.  A page links its customer, and some link their own number."""
-    o = read(spark, sf_dir, "orders").repartition("o_orderkey")
+    o = dealt(read(spark, sf_dir, "orders"), "o_orderkey")
     n, p = F.col("o_orderkey"), F.col("o_orderpriority")
     second = F.when(F.col("o_orderstatus") == "O", render("/product/order-{n}/", n=n)).otherwise(F.lit("/about/"))
     paging = (F.when(p == "1-URGENT", render('<a class="next" href="/shop/page/{n}/">next</a>', n=n + 1))
