@@ -2,10 +2,14 @@
 
 A document is the set of its distinct 5-word shingles (words: lower-cased A-Z, split at ASCII white space); fewer words are one shingle.
 Signatures have 256 values, of which 32 bands of four find candidates: a pair at a threshold of 0.85 shares no band with a probability below 1e-10, at 0.8 below 1e-7.  Documents with equal sets
-are one class.  Members of a bucket are compared in blocks of bounded size: after each 64 signature values a pair goes if the posterior
-probability (uniform prior) that it reaches the threshold is below `miss`; of those that are left the full sets decide (of 64-bit
-hashes of the shingles: two of a pair of ten thousand shingles each collide once in 1e11 such pairs).  A block reports
-links that join its documents, not every linked pair, and components are found over all blocks.
+are one class.  A pair goes if, after some batch of 64 signature values, the posterior probability (uniform prior) that it reaches the threshold
+is below `miss`; of those that are left the full sets decide (of 64-bit hashes of the shingles: two of a pair of ten thousand shingles each
+collide once in 1e11 such pairs).
+
+Candidates of a bucket are taken in two steps, so that a group of copies costs rows in step with its size.  First every member is compared with the
+bucket's smallest document.  Then only members that this did not link are compared with the others, in pairs of blocks of bounded size, on
+signatures alone, and only where the first step left two documents in different components.  Texts are fetched for the survivors of a step.
+What is found are links that join the documents of a component, not every linked pair.
 
 Null and empty texts, and texts of white space only, have no shingles and are linked with nothing; each is its own component.  A row without a
 doc_id is linked with nothing and has no component.  Rows that repeat a doc_id are versions of one document, so they share its component.  Texts
@@ -15,6 +19,7 @@ are read whole, whatever their length; an empty table gives an empty result; fur
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 from math import comb
 
 import numpy as np
@@ -22,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import delete, flat, id_text, mix, written
+from shelfmark.llm.common import delete, flat, id_text, mix, ragged, written
 from shelfmark.llm.components import components
 from shelfmark.llm.words import LOWER, NOT_SPACE, groups, window_hashes, words
 
@@ -79,17 +84,29 @@ def survivors(sigs: np.ndarray, a: np.ndarray, b: np.ndarray, least: list[tuple[
     return a, b
 
 
-def _links(docs: list[int], sides: np.ndarray, same: bool, sigs: np.ndarray, sets: list[np.ndarray], least, percent: int) -> list[tuple[int, int]]:
-    """Links between the documents of one block pair that suffice to join what is linked."""
+def _crossing(sides: np.ndarray, same: bool, labels: np.ndarray, sigs: np.ndarray, least) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one block pair between different components that their signatures do not rule out."""
     if same:
-        a, b = np.triu_indices(len(docs), 1)
+        a, b = np.triu_indices(len(sides), 1)
     else:
         left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
         a, b = np.repeat(left, len(right)), np.tile(right, len(left))
-    a, b = survivors(sigs, a, b, least)
-    if not len(a):
-        return []
-    root = list(range(len(docs)))
+    apart = labels[a] != labels[b]
+    return survivors(sigs, a[apart], b[apart], least)
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    small, large = min(len(x), len(y)), max(len(x), len(y))
+    if not small or 100 * small < percent * large:
+        return False
+    at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+    common = int((x[at] == y).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def _links(a: np.ndarray, b: np.ndarray, labels: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Of the pairs' components, links that suffice to join what is linked."""
+    root = {x: x for x in labels}
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -97,24 +114,11 @@ def _links(docs: list[int], sides: np.ndarray, same: bool, sigs: np.ndarray, set
         return x
 
     out = []
-    order = np.argsort(a, kind="stable")
-    a, b = a[order], b[order]
-    starts = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
-    for s, e in zip(starts.tolist(), np.append(starts[1:], len(a)).tolist(), strict=True):
-        x = int(a[s])
-        mine = sets[x]
-        for y in b[s:e].tolist():
-            if find(x) == find(y):
-                continue
-            other = sets[y]
-            small, large = min(len(mine), len(other)), max(len(mine), len(other))
-            if 100 * small < percent * large:
-                continue
-            at = np.minimum(np.searchsorted(mine, other), len(mine) - 1)
-            common = int((mine[at] == other).sum())
-            if 100 * common >= percent * (len(mine) + len(other) - common):
-                root[find(y)] = find(x)
-                out.append((docs[x], docs[y]))
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        p, q = find(labels[x]), find(labels[y])
+        if p != q and _linked(sets[x], sets[y], percent):
+            root[q] = p
+            out.append((labels[x], labels[y]))
     return out
 
 
@@ -139,30 +143,84 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"key": pa.array(keys.ravel()), "doc": pa.array(np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), BANDS))})
 
 
-def _compared(percent: int, miss: float):
-    """Rows come sorted by (key, i, j): one block pair after the other."""
+def _near_hub(percent: int, miss: float):
+    """Rows come sorted by (hub, salt, member), the hub itself first: the members whose signatures do not rule out a link with it."""
     least = least_matches(percent / 100, miss)
 
     def run(batches):
-        key, docs, sides, sigs, sets = None, [], [], [], []
+        kept = None  # the hub rows of the last group, which the next batch may go on with
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("hub", "salt", "doc")], axis=1)
+            sigs = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u2").reshape(len(ids), -1)
+            if kept is not None:
+                ids, sigs = np.concatenate([kept[0], ids]), np.concatenate([kept[1], sigs])
+            is_hub = ids[:, 0] == ids[:, 2]
+            starts = np.flatnonzero(np.append(True, (ids[1:, :2] != ids[:-1, :2]).any(axis=1)))
+            sizes = np.diff(np.append(starts, len(ids)))
+            hubs = np.add.reduceat(is_hub.astype(np.int64), starts)  # more than one if rows repeat its doc_id
+            group = np.repeat(np.arange(len(starts)), sizes)
+            member = np.flatnonzero(~is_hub)
+            b = np.repeat(member, hubs[group[member]])
+            a = ragged(hubs[group[member]], starts[group[member]])
+            _, b = survivors(sigs, a, b, least)
+            out = ids[np.unique(b)]
+            yield pa.RecordBatch.from_pydict({"hub": pa.array(out[:, 0]), "salt": pa.array(out[:, 1]), "doc": pa.array(out[:, 2])})
+            last = slice(int(starts[-1]), int(starts[-1] + hubs[-1]))
+            kept = ids[last].copy(), sigs[last].copy()
+    return run
 
-        def links():
-            found = _links(docs, np.array(sides), key[1] == key[2], np.stack(sigs), sets, least, percent) if len(docs) > 1 else []
-            return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
+def _hub_links(percent: int):
+    """Rows come sorted as above, with texts: a link for every member that the full sets confirm."""
+    def run(batches):
+        key, hubs = None, []
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j", "block", "doc", "sig")), shingle_sets(batch.column("text")), strict=True)
-            for k, i, j, block, doc, sig, shingles in rows:
-                if (k, i, j) != key:
-                    if docs:
-                        yield links()
-                    key, docs, sides, sigs, sets = (k, i, j), [], [], [], []
-                docs.append(doc)
-                sides.append(int(block != i))
-                sigs.append(np.frombuffer(sig, "<u2"))
+            a, b = [], []
+            for hub, salt, doc, mine in zip(*(batch.column(c).to_pylist() for c in ("hub", "salt", "doc")), shingle_sets(batch.column("text")), strict=True):
+                if (hub, salt) != key:
+                    key, hubs = (hub, salt), []
+                if doc == hub:
+                    hubs.append(mine)
+                elif any(_linked(x, mine, percent) for x in hubs):
+                    a.append(hub)
+                    b.append(doc)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return run
+
+
+_OPEN = pa.schema([("key", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("block", pa.int32()), ("doc", pa.int64()), ("label", pa.int64()), ("sig", pa.binary())])
+
+
+def _block_pairs(percent: int, miss: float, with_texts: bool):
+    """Rows come sorted by (key, i, j), one block pair after the other.  Without texts: the rows of documents that some pair needs; with texts: links."""
+    least = least_matches(percent / 100, miss)
+
+    def run(batches):
+        key, rows, sets = None, [], []
+
+        def done():
+            labels = np.array([r[5] for r in rows], np.int64)
+            sigs = np.frombuffer(b"".join(r[6] for r in rows), "<u2").reshape(len(rows), -1)
+            a, b = _crossing(np.array([int(r[3] != r[1]) for r in rows]), key[1] == key[2], labels, sigs, least)
+            if with_texts:
+                found = _links(a, b, labels.tolist(), sets, percent)
+                return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+            held = [rows[x] for x in np.union1d(a, b).tolist()]
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in held], f.type) for k, f in enumerate(_OPEN)], schema=_OPEN)
+
+        for batch in batches:
+            every = shingle_sets(batch.column("text")) if with_texts else repeat(None, batch.num_rows)
+            for row, shingles in zip(zip(*(batch.column(f.name).to_pylist() for f in _OPEN), strict=True), every, strict=True):
+                if row[:3] != key:
+                    if rows:
+                        yield done()
+                    key, rows, sets = row[:3], [], []
+                rows.append(row)
                 sets.append(shingles)
-        if docs:
-            yield links()
+        if rows:
+            yield done()
     return run
 
 
@@ -179,28 +237,77 @@ def near_duplicates(docs: DataFrame, percent: int = 85, miss: float = 1e-9) -> D
     reps = written(members.filter("doc_id = rep").select("doc_id", "sig").distinct(), "minhash-classes")
     bands = written(reps.mapInArrow(_banded, "key long, doc long"), "minhash-bands")
     buckets = bands.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("hub"), F.bit_xor(F.xxhash64("doc")).alias("all")).filter("n > 1")
-    buckets = buckets.groupBy("n", "hub", "all").agg(F.min("key").alias("key"))  # equal buckets of several bands once
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    placed = bands.join(buckets.select("key", blocks.alias("blocks")), "key").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = written(placed.select("key", "doc", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")), "minhash-blocks")
+    buckets = buckets.groupBy("n", "hub", "all").agg(F.min("key").alias("key")).drop("all")  # equal buckets of several bands once
+    placed = written(bands.join(buckets, "key").filter("doc <> hub"), "minhash-buckets")
     delete(bands)
-    wanted = placed.select("doc").distinct()
-    # The wanted ids grow with the corpus, so this is one merge join at every size.
-    texts = docs.join(wanted.hint("merge"), docs.doc_id == wanted.doc, "left_semi").join(reps, "doc_id").select(F.col("doc_id").alias("doc"), "sig", "text")
-    full = placed.join(written(texts, "minhash-texts"), "doc").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    links = written(full.mapInArrow(_compared(percent, miss), "a long, b long"), "minhash-links")
-    return _labelled(signed, members, links)
-
-
-def _labelled(signed: DataFrame, members: DataFrame, links: DataFrame) -> DataFrame:
-    # Equal sets are linked through the class; versions of one doc_id through their classes' representatives.
+    star = _star(docs, reps, placed, percent, miss)
     versions = members.filter("doc_id <> rep").select(F.col("doc_id").alias("node"), "rep")
     repeated = versions.groupBy("node").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
-    edges = links.union(repeated.filter("a <> b").select("a", "b"))
-    joined = components(edges)
+    # Equal sets are linked through the class; versions of one doc_id through their classes' representatives.
+    labels = components(star.union(repeated.filter("a <> b").select("a", "b")))
+    rest = _rest(docs, reps, placed, star, labels, percent, miss)
+    delete(placed)
+    delete(star)
+    if not rest.isEmpty():
+        tops = components(rest)
+        labels = labels.withColumnRenamed("component", "label").join(tops.withColumnRenamed("node", "label"), "label", "left").select(
+            "node", F.coalesce("component", "label").alias("component")).union(tops.join(labels, "node", "left_anti"))
+    return _labelled(signed, members, labels)
+
+
+def _with_texts(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    # The wanted ids grow with the corpus, so this is one merge join at every size.
+    return rows.join(docs.select(F.col("doc_id").alias("doc"), "text").hint("merge"), "doc")
+
+
+def _star(docs: DataFrame, reps: DataFrame, placed: DataFrame, percent: int, miss: float) -> DataFrame:
+    """Links (a, b) between the smallest document of a bucket and its members.  A hub of many members stands in a part for each block of them."""
+    salt = F.pmod(F.xxhash64("doc"), F.ceil(F.col("n") / BLOCK))
+    pairs = placed.groupBy("hub", "doc").agg(F.min(salt).alias("salt"))
+
+    def with_hubs(rows: DataFrame) -> DataFrame:
+        return rows.select("hub", "salt", "doc").union(rows.select("hub", "salt", F.col("hub").alias("doc")).distinct())
+
+    def in_order(rows: DataFrame) -> DataFrame:
+        return rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.col("doc") != F.col("hub"))
+
+    signs = with_hubs(pairs).join(reps.withColumnRenamed("doc_id", "doc"), "doc")
+    near = written(in_order(signs).mapInArrow(_near_hub(percent, miss), "hub long, salt long, doc long"), "minhash-near-hub")
+    found = in_order(_with_texts(with_hubs(near), docs)).mapInArrow(_hub_links(percent), "a long, b long")
+    links = written(found, "minhash-hub-links")
+    delete(near)
+    return links
+
+
+def _rest(docs: DataFrame, reps: DataFrame, placed: DataFrame, star: DataFrame, labels: DataFrame, percent: int, miss: float) -> DataFrame:
+    """Links (a, b) between components, of documents that share a bucket without a link to its smallest document."""
+    tied = star.distinct().select(F.col("a").alias("hub"), F.col("b").alias("doc"), F.lit(True).alias("tied"))
+    named = placed.join(tied, ["hub", "doc"], "left").join(labels.select(F.col("node").alias("doc"), F.col("component").alias("label")), "doc", "left")
+    named = written(named.select("key", "doc", F.col("tied").isNull().alias("free"), F.coalesce("label", "doc").alias("label")), "minhash-open")
+    wide = named.groupBy("key").agg(F.count_if("free").alias("free_n"), F.count_if(~F.col("free")).alias("tied_n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    wide = wide.filter("free_n > 0 AND lo <> hi").select("key", F.ceil(F.col("free_n") / BLOCK).cast("int").alias("f"), F.ceil(F.col("tied_n") / BLOCK).cast("int").alias("t"))
+    h = F.xxhash64("doc")
+    block = F.when(F.col("free"), F.pmod(h, F.col("f"))).otherwise(F.col("f") + F.pmod(h, F.greatest("t", F.lit(1)))).cast("int")
+    last = F.when(F.col("free"), F.col("f") + F.col("t")).otherwise(F.col("f")) - 1  # blocks of tied documents meet those of free ones only
+    rows = named.join(wide, "key").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc", "label")
+
+    def in_order(rows: DataFrame) -> DataFrame:
+        return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    signs = rows.join(reps.withColumnRenamed("doc_id", "doc"), "doc").select(*_OPEN.names)
+    left = written(in_order(signs).mapInArrow(_block_pairs(percent, miss, False), "key long, i int, j int, block int, doc long, label long, sig binary"), "minhash-block-pairs")
+    wanted = left.select("doc").distinct()
+    texts = docs.select(F.col("doc_id").alias("doc"), "text").join(wanted, "doc", "left_semi")
+    links = written(in_order(left.join(texts, "doc")).mapInArrow(_block_pairs(percent, miss, True), "a long, b long"), "minhash-links")
+    delete(named)
+    delete(left)
+    return links
+
+
+def _labelled(signed: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
     out = signed.select("doc_id", "n_shingles", "set_low", "set_high")
     reps = members.select("doc_id", "rep").groupBy("doc_id").agg(F.min("rep").alias("rep"))
-    out = out.join(reps, "doc_id", "left").join(joined, F.col("rep") == F.col("node"), "left")
+    out = out.join(reps, "doc_id", "left").join(labels, F.col("rep") == F.col("node"), "left")
     out = out.withColumn("component_id", F.coalesce("component", "rep", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -37,6 +37,21 @@ def test_exact_groups(spark, fit):
     assert exact_dedup(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_exact_levels_shrink(spark, monkeypatch):
+    """Tables of 400 bytes: hundreds of buckets, but what a level leaves is a fraction of it."""
+    from shelfmark.llm import exact_dedup as e
+
+    tables = []
+    monkeypatch.setattr(e, "written", lambda df, name, real=e.written: tables.append((name, real(df, name))) or tables[-1][1])
+    monkeypatch.setattr(e, "delete", lambda df: None)
+    rows = [(i, f"{i % 2000:05}" * (1 + i % 50)) for i in range(4000)]
+    assert sum(x.kept for x in exact_dedup(frame(spark, rows), fit_bytes=400).collect()) == len({t for _, t in rows})
+    total = sum(len(t) + 64 for t in {t for _, t in rows})
+    spilt = [t.agg({"size": "sum"}).first()[0] for name, t in tables if name.startswith("exact-spill")]
+    assert 1 <= len(spilt) <= 8 and spilt == sorted(spilt, reverse=True)
+    assert sum(spilt) < total / 3
+
+
 def test_equal_hashes_do_not_make_equal_texts():
     table = OpenTable()
     for text in (b"a", b"b"):
@@ -100,6 +115,28 @@ def test_near_duplicates_are_brute_force(spark, percent, monkeypatch):
     assert got == brute_near(rows, percent)
 
 
+def test_near_duplicates_of_one_template(spark, monkeypatch):
+    """A bucket's smallest document is linked with some members only; the others are linked with each other, or with none."""
+    import shelfmark.llm.minhash as m
+
+    r = random.Random(9)
+    base = [f"b{k}" for k in range(100)]
+    rows = []
+    for k in range(90):
+        w = list(base)
+        for p in r.sample(range(100), k % 9):
+            w[p] = f"x{r.randint(0, 3) if k % 2 else k}"
+        rows.append((k, " ".join(w)))
+    monkeypatch.setattr(m, "BLOCK", 16)
+    tables = {}
+    monkeypatch.setattr(m, "written", lambda df, name, real=m.written: tables.setdefault(name, real(df, name)))
+    monkeypatch.setattr(m, "delete", lambda df: None)
+    got = sorted(map(tuple, near_duplicates(frame(spark, rows), percent=85).collect()), key=str)
+    assert got == brute_near(rows, 85)
+    assert tables["minhash-hub-links"].count() > 10 and tables["minhash-open"].filter("free").count() > 10
+    assert tables["minhash-block-pairs"].count() > 0
+
+
 def test_near_duplicates_of_no_rows(spark):
     assert near_duplicates(frame(spark, [(1, "x")]).limit(0)).count() == 0
 
