@@ -13,7 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LEDGER = "blob string, rule string, rule_version int, spans array<struct<start: int, end: int>>"
@@ -40,23 +40,30 @@ RULES = (
 )
 
 
-def _spans(rule: Rule, text: Column) -> Column:
-    """All leftmost non-overlapping matches: the texts between them and the matches themselves give the places."""
+def _parts(rule: Rule, text: Column) -> Column:
+    """All leftmost non-overlapping matches in order: characters between the one before and it, its own, and whether it is long enough."""
     gaps, found = F.split(text, rule.pattern, -1), F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else found
     parts = F.zip_with(F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"))), value,
-                       lambda p, v: F.struct(p["gap"].alias("gap"), p["size"].alias("size"), F.length(v).alias("counted")))
+                       lambda p, v: F.struct(p["gap"].alias("gap"), p["size"].alias("size"), (F.length(v) >= rule.at_least).alias("counts")))
     parts = F.filter(parts, lambda p: p["size"].isNotNull())  # the text behind the last match has none
-    none = F.array().cast("array<struct<start: int, end: int>>")
-    walked = F.aggregate(
-        parts, F.struct(F.lit(0).alias("at"), none.alias("spans")),
-        lambda a, p: F.struct((a["at"] + p["gap"] + p["size"]).alias("at"), F.when(
-            p["counted"] >= rule.at_least, F.concat(a["spans"], F.array(F.struct((a["at"] + p["gap"]).alias("start"), (a["at"] + p["gap"] + p["size"]).alias("end")))),
-        ).otherwise(a["spans"]).alias("spans")))["spans"]
     held = F.lit(False)
     for hint in rule.hints:
         held = held | F.contains(F.lower(text), F.lit(hint))
-    return F.when(held if rule.hints else text.rlike(rule.pattern), walked).otherwise(none)
+    return F.when(held if rule.hints else text.rlike(rule.pattern), parts).otherwise(F.array().cast("array<struct<gap: int, size: int, counts: boolean>>"))
+
+
+def _placed(found: DataFrame) -> DataFrame:
+    """Spans from the parts of each (blob, rule, version): a running sum over the parts as rows, so that a text takes time in step with its
+    findings.  One shuffle of numbers; pairs without a match stay as rows without spans."""
+    pair = ["blob", "rule", "rule_version"]
+    rows = found.select(*pair, F.posexplode_outer("parts").alias("place", "part")).select(*pair, "place", "part.*")
+    # Rows that repeat a path were scanned alike: one of each place is left.
+    rows = rows.repartition(*pair).groupBy(*pair, "place").agg(F.min("gap").alias("gap"), F.min("size").alias("size"), F.min("counts").alias("counts"))
+    upto = Window.partitionBy(*pair).orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(upto).cast("int"))
+    span = F.when(F.col("counts"), F.struct((F.col("end") - F.col("size")).alias("start"), F.col("end").alias("end")))
+    return rows.groupBy(*pair).agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
 
 def _ledger(spark, path: str) -> DataFrame:
@@ -83,12 +90,12 @@ def scan(versions: DataFrame, ledger: str, path: str = "doc_id", text: str = "te
     unseen = unseen.filter(F.size("todo") > 0).withColumnRenamed("blob", "unseen")
     texts = named.join(unseen, (F.col("blob") == F.col("unseen")) & F.col("path").eqNullSafe(F.col("one"))).select("blob", "text", "todo")
     each = [F.when(F.array_contains("todo", F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("rule_version"))), F.struct(
-        F.lit(r.name).alias("rule"), F.lit(r.version).alias("rule_version"), _spans(r, F.col("text")).alias("spans"))) for r in rules]
+        F.lit(r.name).alias("rule"), F.lit(r.version).alias("rule_version"), _parts(r, F.col("text")).alias("parts"))) for r in rules]
     found = texts.select("blob", F.explode(F.filter(F.array(*each), lambda x: x.isNotNull())).alias("f")).select("blob", "f.*")
-    found.write.mode("append").parquet(ledger)
+    _placed(found).write.mode("append").parquet(ledger)
     current = F.array_contains(wanted, F.struct("rule", "rule_version"))
     by_blob = (spark.read.schema(LEDGER).parquet(ledger).filter(current)
-               .groupBy("blob", "rule", "rule_version").agg(F.min("spans").alias("spans"))  # rows that repeat a path were scanned alike
+               .groupBy("blob", "rule", "rule_version").agg(F.min("spans").alias("spans"))  # two runs at the same time may both have scanned a blob
                .filter(F.size("spans") > 0).groupBy("blob").agg(F.collect_list(F.struct("rule", "rule_version", "spans")).alias("findings")))
     return named.select("path", "blob").join(by_blob, "blob", "left").select(
         F.col("path").alias(path), "blob", F.coalesce("findings", F.array().cast("array<struct<rule: string, rule_version: int, spans: array<struct<start: int, end: int>>>>")).alias("findings"))

@@ -42,6 +42,12 @@ def test_secrets_are_brute_force(spark, tmp_path):
     assert spark.read.parquet(ledger).count() == n  # nothing unseen
 
 
+def test_secrets_of_a_text_full_of_them(spark, tmp_path):
+    text = "".join(f"token={k:012} " if k % 3 else f"{k:020x}\n" for k in range(30_000))
+    got = secret_digest(scan(spark.createDataFrame([(1, text), (2, None), (1, text)], "doc_id long, text string"), f"file://{tmp_path}/ledger")).collect()
+    assert sorted(map(tuple, got)) == sorted([(1, *brute_secrets(text)), (2, *brute_secrets("")), (1, *brute_secrets(text))])
+
+
 def test_only_unseen_blobs_and_rule_versions_are_scanned(spark, tmp_path):
     ledger = f"file://{tmp_path}/ledger"
     v1 = spark.createDataFrame([("a", 1, "token=abcdefghijklmnop"), ("b", 1, "clean")], "file string, version int, text string")
