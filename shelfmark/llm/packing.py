@@ -1,7 +1,7 @@
 """Packing by lexical retrieval: a BM25 index of each shard finds the documents that share a window with a seed.
 
 Documents are dealt to shards by hash; a shard is an index of about a thousand documents or a few megabytes, whatever the size of the corpus.
-Long documents first give whole windows.  Then each rest in turn is a seed: its rarest terms are looked up in the inverted index of its shard
+Long documents first give whole windows.  Then each rest in turn is a seed: its terms are looked up in the inverted index of its shard
 and the best-scoring rests that are unused follow it, the last one cut where the window ends; what is cut off stays in the index.  Only the last
 window of a shard can be short.
 
@@ -25,7 +25,6 @@ from shelfmark.llm.common import id_text, ragged
 LENGTH = 2048
 SHARD_DOCS, SHARD_BYTES = 1024, 6 << 20
 K1, B = 1.2, 0.75
-QUERY_TERMS = 32
 AHEAD = 16  # ranked neighbours taken at a time
 
 
@@ -49,10 +48,8 @@ class Index:
         self.sizes, self.ends, self.n = df, np.cumsum(df), n
 
     def scores(self, seed: int) -> np.ndarray:
-        """Of all documents, for the seed's QUERY_TERMS heaviest terms."""
-        a, b = self.begins[seed], self.begins[seed] + self.lengths[seed]
-        w = self.weight[a:b]
-        some = self.term[a:b][np.argpartition(-w, QUERY_TERMS)[:QUERY_TERMS]] if b - a > QUERY_TERMS else self.term[a:b]
+        """Of all documents, for the seed's distinct terms."""
+        some = self.term[self.begins[seed]:self.begins[seed] + self.lengths[seed]]
         at = ragged(self.sizes[some], self.ends[some] - self.sizes[some])
         return np.bincount(self.docs[at], self.weights[at], self.n)
 
