@@ -19,7 +19,7 @@ are read whole, whatever their length; an empty table gives an empty result; fur
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import pairwise, repeat
 from math import comb
 
 import numpy as np
@@ -76,7 +76,7 @@ def survivors(sigs: np.ndarray, a: np.ndarray, b: np.ndarray, least: list[tuple[
     """The pairs that no batch of signature values rules out."""
     matches, done = np.zeros(len(a), np.int64), 0
     for n, m in least:
-        step = 1 << 15
+        step = 1 << 11  # pairs whose values fit a core's cache
         for k in range(0, len(a), step):
             matches[k:k + step] += (sigs[a[k:k + step], done:n] == sigs[b[k:k + step], done:n]).sum(axis=1)
         keep = matches >= m
@@ -113,12 +113,29 @@ def _links(a: np.ndarray, b: np.ndarray, labels: list[int], sets: list[np.ndarra
             root[x] = x = root[root[x]]
         return x
 
+    sizes = np.array([len(x) for x in sets])
+    distinct, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    begins, mine = np.cumsum(sizes) - sizes, np.zeros(len(distinct), bool)
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], b[order]
     out = []
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        p, q = find(labels[x]), find(labels[y])
-        if p != q and _linked(sets[x], sets[y], percent):
-            root[q] = p
-            out.append((labels[x], labels[y]))
+    for lo, hi in pairwise([*np.flatnonzero(np.append(True, a[1:] != a[:-1])).tolist(), len(a)] if len(a) else []):
+        x = int(a[lo])
+        others = np.array([y for y in b[lo:hi].tolist() if find(labels[y]) != find(labels[x])], np.int64)
+        others = others[100 * np.minimum(sizes[others], sizes[x]) >= percent * np.maximum(sizes[others], sizes[x])]
+        if not len(others):
+            continue
+        # What x has in common with all others in one pass over their sets.
+        own = ids[begins[x]:begins[x] + sizes[x]]
+        mine[own] = True
+        hits = mine[ids[ragged(sizes[others], begins[others])]]
+        common = np.add.reduceat(hits, np.cumsum(sizes[others]) - sizes[others], dtype=np.int64)
+        mine[own] = False
+        for y in others[100 * common >= percent * (sizes[others] + sizes[x] - common)].tolist():
+            p, q = find(labels[x]), find(labels[y])
+            if p != q:
+                root[q] = p
+                out.append((labels[x], labels[y]))
     return out
 
 
