@@ -5,7 +5,7 @@ Pages are taken in ``seq`` order within a (run, source), which stands for the or
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import text as t
@@ -15,8 +15,10 @@ from shelfmark.functions.urls import parts, resolve
 from shelfmark.operators.quality import first_per
 from shelfmark.operators.shred import from_html
 from shelfmark.profiles import SourceProfile
+from shelfmark.sources.work import saved, work_path
 
 RUN = ["run_id", "source"]
+BLOCK = 4096  # consecutive numbers of a run that are dealt together
 
 # Comments, scripts and styles hold no links; then every start tag <a …>.
 _HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
@@ -52,22 +54,30 @@ def _first_base(page: Column) -> Column:
     return F.when(page.rlike("(?i)<base"), F.get(found, F.lit(0)))
 
 
+def _hrefs(page: Column, profile: SourceProfile) -> Column:
+    """Distinct hrefs of a page that name a product; only tags that may name one, as written or in character references, are looked into."""
+    wanted = lambda u: t.contains_any(u, profile.product_markers)
+    tags = F.filter(_tags(page, _ANCHOR), lambda tag: wanted(tag) | tag.contains("&"))
+    return F.array_distinct(F.filter(F.transform(tags, _href), wanted))
+
+
+def _with_urls(found: DataFrame) -> DataFrame:
+    """Rows with ``hrefs`` and the first base's href as ``named``: the urls they stand for as ``link_urls``.  A base is taken apart once a page."""
+    based = found.withColumn("link_base", F.when(F.col("named").isNull(), F.col("url")).otherwise(resolve(F.col("url"), F.col("named"))))
+    placed = based.withColumn("base_parts", parts(F.col("link_base")))
+    urls = F.array_distinct(F.transform("hrefs", lambda u: resolve(F.col("link_base"), u, F.col("base_parts"))))
+    return placed.withColumn("link_urls", urls).drop("hrefs", "named", "link_base", "base_parts")
+
+
 def product_links(pages: DataFrame, profile: SourceProfile) -> DataFrame:
     """One row per distinct product link of a page: (run, source, seq, url, link_url).
 
-    Links are relative to the page's base element, else to its own url.  A page's hidden parts are taken out once, its base is taken apart
-    once, and only tags that may name a product, as written or in character references, are looked into.
+    Links are relative to the page's base element, else to its own url.  A page's hidden parts are taken out once.
     """
-    wanted = lambda u: t.contains_any(u, profile.product_markers)
     mine = (pages.filter((F.col("source") == profile.source) & (F.col("status") == 200))
             .select(*RUN, "seq", "url", visible(F.col("html")).alias("page")))
-    tags = F.filter(_tags(F.col("page"), _ANCHOR), lambda tag: wanted(tag) | tag.contains("&"))
-    found = mine.select(*RUN, "seq", "url", F.array_distinct(F.filter(F.transform(tags, _href), wanted)).alias("hrefs"),
-                        _first_base(F.col("page")).alias("named")).filter(F.size("hrefs") > 0)
-    based = found.withColumn("base", F.when(F.col("named").isNull(), F.col("url")).otherwise(resolve(F.col("url"), F.col("named"))))
-    placed = based.withColumn("base_parts", parts(F.col("base")))
-    urls = F.array_distinct(F.transform("hrefs", lambda u: resolve(F.col("base"), u, F.col("base_parts"))))
-    return placed.select(*RUN, "seq", "url", F.explode(urls).alias("link_url"))
+    found = mine.select(*RUN, "seq", "url", _hrefs(F.col("page"), profile).alias("hrefs"), _first_base(F.col("page")).alias("named"))
+    return _with_urls(found.filter(F.size("hrefs") > 0)).select(*RUN, "seq", "url", F.explode("link_urls").alias("link_url"))
 
 
 def first_seen(links: DataFrame) -> DataFrame:
@@ -105,61 +115,82 @@ def constructed_next(url: Column, profile: SourceProfile) -> Column:
             .otherwise(F.concat(root, rest)))
 
 
-def _candidates(listing: DataFrame, profile: SourceProfile) -> DataFrame:
-    """Every link the paging rules could pick, with its rank: by name, by number, constructed, load-more."""
+def _candidates(profile: SourceProfile) -> tuple[dict[str, str], Column]:
+    """The rules to read a listing page by, and every link the paging rules could pick, best first: by name, by number, constructed, load-more.
+
+    The second works on columns url, base (what links are relative to), here (the page's number) and h (what the rules found).
+    """
     h = F.col("h")
     rules = {f"next_{i}": s for i, s in enumerate(profile.next_link)}
     rules |= {f"numbered_{i}": s for i, s in enumerate(profile.numbered_link)}
     rules |= {f"more_{i}": s for i, s in enumerate(profile.load_more)}
     rules["base_href"] = "base::attr(href)"
-    pages = listing.withColumn("h", from_html(F.col("html"), rules)).drop("html")
-    base = F.coalesce(resolve(F.col("url"), t.truthy(F.get(h["base_href"], F.lit(0)))), F.col("url"))
-    pages = pages.withColumns({"base": base, "here": F.coalesce(page_number(F.col("url"), profile), F.lit(1))})
 
-    def entry(group: int, rule: int, at: Column | int, kind: str, url: Column) -> Column:
-        at = at if isinstance(at, Column) else F.lit(at)
-        return F.struct(F.struct(F.lit(group).alias("group"), F.lit(rule).alias("rule"), at.alias("at")).alias("rank"),
-                        F.lit(kind).alias("kind"), url.alias("next_url"))
+    def entry(kind: str, url: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), url.alias("next_url"))
 
-    single = lambda name: t.truthy(F.get(h[name], F.lit(0)))
-    rows = [F.array(entry(1, i, 0, "next", resolve(F.col("base"), single(f"next_{i}")))) for i in range(len(profile.next_link))]
+    single = lambda name: resolve(F.col("base"), t.truthy(F.get(h[name], F.lit(0))))
 
-    def onward(i: int) -> Column:
-        urls = F.transform(F.filter(h[f"numbered_{i}"], lambda u: u != ""), lambda u: resolve(F.col("base"), u))
-        return F.transform(urls, lambda u, at: F.when(page_number(u, profile) > F.col("here"), entry(2, i, at, "number", u)))
+    def onward(name: str) -> Column:
+        urls = F.transform(F.filter(h[name], lambda u: u != ""), lambda u: resolve(F.col("base"), u))
+        return F.transform(F.filter(urls, lambda u: page_number(u, profile) > F.col("here")), lambda u: entry("number", u))
 
-    rows += [onward(i) for i in range(len(profile.numbered_link))]
-    rows.append(F.array(entry(3, 0, 0, "constructed", constructed_next(F.col("url"), profile))))
-    rows += [F.array(entry(4, i, 0, "load_more", resolve(F.col("base"), single(f"more_{i}")))) for i in range(len(profile.load_more))]
-    usable = F.filter(F.concat(*rows), lambda c: c["next_url"].isNotNull() & (c["next_url"] != F.col("url")))
-    return pages.select(*RUN, "seq", "url", F.explode(usable).alias("c")).select(*RUN, "seq", "url", "c.*")
+    ranked = [F.array(*[entry("next", single(f"next_{i}")) for i in range(len(profile.next_link))])]
+    ranked += [onward(f"numbered_{i}") for i in range(len(profile.numbered_link))]
+    ranked.append(F.array(entry("constructed", constructed_next(F.col("url"), profile))))
+    if profile.load_more:
+        ranked.append(F.array(*[entry("load_more", single(f"more_{i}")) for i in range(len(profile.load_more))]))
+    return rules, F.filter(F.concat(*ranked), lambda c: c["next_url"].isNotNull() & (c["next_url"] != F.col("url")))
+
+
+def run_bounds(listing: DataFrame) -> DataFrame:
+    """(run, block, start_seq, gone_seq): a run's first page and first page not found, carried to each block of the run's pages.
+
+    Pages meet them on (run, block), so one run that holds all pages is dealt over all tasks; what is gathered on a run is a row per block.
+    """
+    blocks = listing.groupBy(*RUN, "block").agg(F.min("seq").alias("start_seq"), F.min(F.when(F.col("status") == 404, F.col("seq"))).alias("gone_seq"))
+    run = Window.partitionBy(*RUN)
+    return blocks.select(*RUN, "block", F.min("start_seq").over(run).alias("start_seq"), F.min("gone_seq").over(run).alias("gone_seq"))
+
+
+def listing_facts(pages: DataFrame, profile: SourceProfile) -> DataFrame:
+    """One narrow row per listing page: what it links (link_urls, candidates) and its run's bounds.  Html is read and parsed once and is in no join."""
+    mine = pages.filter((F.col("source") == profile.source) & ~t.contains_any(F.col("url"), profile.product_markers)).withColumn(
+        "block", F.floor(F.col("seq") / BLOCK))
+    rules, ranked = _candidates(profile)
+    html = F.when(F.col("status") == 200, F.col("html"))
+    read = mine.select(*RUN, "seq", "url", "status", "block", html.alias("html")).withColumn("h", from_html(F.col("html"), rules))
+    read = read.withColumn("page", visible(F.col("html"))).withColumns({
+        "hrefs": _hrefs(F.col("page"), profile), "named": _first_base(F.col("page")), "here": F.coalesce(page_number(F.col("url"), profile), F.lit(1)),
+        "base": F.coalesce(resolve(F.col("url"), t.truthy(F.get(F.col("h.base_href"), F.lit(0)))), F.col("url"))})
+    read = _with_urls(read.select(*RUN, "seq", "url", "status", "block", "hrefs", "named", F.when(F.col("status") == 200, ranked).alias("candidates")))
+    return read.join(run_bounds(mine), [*RUN, "block"], "left").drop("block")
 
 
 def next_page(pages: DataFrame, profile: SourceProfile) -> DataFrame:
-    """One row per listing page: the link to follow, or why paging stops there."""
-    mine = pages.filter(F.col("source") == profile.source).select(*RUN, "seq", "url", "status", "html")
-    is_listing = ~t.contains_any(F.col("url"), profile.product_markers)
-    listing = mine.filter(is_listing)
-    seen = first_seen(product_links(mine.filter(is_listing), profile))
-    fresh = seen.groupBy(*RUN, "seq").agg(F.count("*").alias("new_products"))
+    """One row per listing page: the link to follow, or why paging stops there.
+
+    Two stored tables stand between the pages and the result: what each listing page says, and since when each url counts as requested.
+    """
+    spark = pages.sparkSession
+    listing = saved(listing_facts(pages, profile), work_path(spark, "listing-facts"))
 
     # Urls already requested when a page is handled: products shown up to it, listing pages fetched up to it (not the start page).
-    start = listing.groupBy(*RUN).agg(F.min("seq").alias("start_seq"),
-                                      F.min(F.when(F.col("status") == 404, F.col("seq"))).alias("gone_seq"))
-    followed = listing.select(*RUN, "url", "seq").join(start, RUN).filter(F.col("seq") > F.col("start_seq")).select(
-        *RUN, F.col("url").alias("next_url"), "seq")
-    visited = (seen.select(*RUN, F.col("link_url").alias("next_url"), "seq").unionByName(followed)
-               .groupBy(*RUN, "next_url").agg(F.min("seq").alias("since")))
-    open_ = (_candidates(listing.filter(F.col("status") == 200), profile)
-             .join(visited, [*RUN, "next_url"], "left").filter(F.col("since").isNull() | (F.col("since") > F.col("seq")))
-             .groupBy(*RUN, "seq", "url").agg(F.min_by(F.struct("kind", "next_url"), "rank").alias("pick")))
+    shown = listing.select(*RUN, "seq", F.explode("link_urls").alias("next_url"), F.col("seq").alias("shown"))
+    fetched = listing.filter("seq > start_seq").select(*RUN, "seq", F.col("url").alias("next_url"), F.lit(None).cast("bigint").alias("shown"))
+    visited = saved(shown.unionByName(fetched).groupBy(*RUN, "next_url").agg(F.min("seq").alias("since"), F.min("shown").alias("shown")),
+                    work_path(spark, "visited"))
+    fresh = visited.filter("shown IS NOT NULL").groupBy(*RUN, F.col("shown").alias("seq")).agg(F.count("*").alias("new_products"))
+    open_ = (listing.select(*RUN, "seq", "url", F.posexplode("candidates").alias("place", "c"))
+             .select(*RUN, "seq", "url", "place", "c.next_url").join(visited.drop("shown"), [*RUN, "next_url"], "left")
+             .filter("since IS NULL OR since > seq").groupBy(*RUN, "seq", "url").agg(F.min("place").alias("place")))
 
     no_products = F.col("new_products") == 0
     if profile.stop_markers is not None:
         no_products = no_products & t.contains_any(F.col("url"), profile.stop_markers)
-    return (listing.select(*RUN, "seq", "url", "status").join(start, RUN).join(fresh, [*RUN, "seq"], "left")
+    return (listing.select(*RUN, "seq", "url", "status", "gone_seq", "candidates").join(fresh, [*RUN, "seq"], "left")
             .join(open_, [*RUN, "seq", "url"], "left")
-            .withColumn("new_products", F.coalesce("new_products", F.lit(0)))
+            .withColumns({"new_products": F.coalesce("new_products", F.lit(0)), "pick": F.get("candidates", F.col("place"))})
             .withColumn("stop_reason", F.when(F.col("status") == 404, "not_found").when(F.col("gone_seq") < F.col("seq"), "after_not_found")
                         .when(no_products, "no_products").when(F.col("pick").isNull(), "no_next_link"))
             .select(*RUN, "seq", "url", "new_products",

@@ -169,7 +169,7 @@ def next_page_constructed(spark, sf_dir):
         L.constructed_next(F.replace(u, F.lit("page="), F.lit("p=")), PRESS).alias("next_woo"))
 
 
-@query(r"""
+NEXT_PAGE_SQL = r"""
 WITH l AS (SELECT o_orderkey AS n, o_custkey, o_orderstatus, o_orderpriority AS p, strftime(o_orderdate, '%Y%m') AS run_id,
                   CASE WHEN o_totalprice < 1200 THEN 404 ELSE 200 END AS status FROM orders),
 links AS (SELECT run_id, n, 'https://press.example/product/customer-' || o_custkey || '/' AS u FROM l WHERE status = 200
@@ -187,7 +187,10 @@ picks AS (SELECT l.*, coalesce(new_products, 0) AS new_products,
     FROM l LEFT JOIN fresh USING (run_id, n) LEFT JOIN gone USING (run_id))
 SELECT run_id, n AS seq, 'https://press.example/shop/page/' || n || '/' AS url, new_products,
        CASE WHEN stop_reason IS NULL THEN kind END AS kind, CASE WHEN stop_reason IS NULL THEN next_url END AS next_url,
-       stop_reason FROM picks""")
+       stop_reason FROM picks"""
+
+
+@query(NEXT_PAGE_SQL)
 def next_page(spark, sf_dir):
     return L.next_page(S.listing_pages(spark, sf_dir, PRESS.source), PRESS).drop("source")
 

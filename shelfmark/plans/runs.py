@@ -9,7 +9,7 @@ from shelfmark.operators import chain as C
 from shelfmark.operators import links as L
 from shelfmark.operators import merge as M
 from shelfmark.plans import shop_pages as S
-from shelfmark.plans.queries import CATALOG_COLUMNS, order_sightings, query, table
+from shelfmark.plans.queries import CATALOG_COLUMNS, NEXT_PAGE_SQL, order_sightings, query, table
 from shelfmark.profiles import PRESS
 from shelfmark.sources import exports as X
 from shelfmark.sources import tables as T
@@ -75,6 +75,14 @@ def page_chain(spark, sf_dir):
     return C.page_chain(L.next_page(chained_listings(spark, sf_dir), PRESS)).select("run_id", "step", "seq", "url", "stop_reason")
 
 
+@query(NEXT_PAGE_SQL.replace("strftime(o_orderdate, '%Y%m')", "'all'").replace("o_totalprice < 1200", "o_orderkey % 10007 = 10006"))
+def one_crawl(spark, sf_dir):
+    """Paging decisions where all listing pages belong to one run, whose pages are not found from some place on."""
+    pages = S.listing_pages(spark, sf_dir, PRESS.source).withColumns(
+        {"run_id": F.lit("all"), "status": F.when(F.col("seq") % 10007 == 10006, 404).otherwise(200)})
+    return L.next_page(pages, PRESS).drop("source")
+
+
 @query("""
 WITH RECURSIVE m AS (SELECT (max(o_orderkey) // 20 + 1) * 20 AS size FROM orders),
 e AS (SELECT o_orderkey % 20 AS run, o_orderkey AS node, CASE WHEN o_totalprice >= 1500 THEN (o_orderkey + 20 * (1 + o_custkey % 7)) % size END AS next FROM orders, m),

@@ -70,6 +70,23 @@ def test_retail_goes_on_without_products_unless_paginated(make_pages):
     assert got[1].stop_reason == "no_products"
 
 
+def test_bounds_of_a_run_reach_every_block_of_it(spark, monkeypatch):
+    monkeypatch.setattr(L, "BLOCK", 4)
+    rows = [("a", "s", n, 404 if n in (9, 30) else 200) for n in range(3, 41)] + [("b", "s", 7, 200), ("b", "s", 70, 200), ("c", "s", 1, 404)]
+    listing = spark.createDataFrame(rows, "run_id string, source string, seq bigint, status int").withColumn("block", F.floor(F.col("seq") / L.BLOCK))
+    got = {(r.run_id, r.block): (r.start_seq, r.gone_seq) for r in L.run_bounds(listing).collect()}
+    assert got == {("a", k): (3, 9) for k in range(11)} | {("b", 1): (7, None), ("b", 17): (7, None), ("c", 0): (1, 1)}
+
+
+def test_one_run_is_decided_alike_in_blocks_of_any_size(make_pages, monkeypatch):
+    rows = [(f"{SHOP}page/{n}/", f'<a href="/product/{n // 2 if n % 5 else n}/">p</a><a class="next" href="/shop/page/{n + 1 + n % 3}/">n</a>',
+             404 if n == 33 else 200) for n in range(1, 40)]
+    whole = decide(make_pages, PRESS, rows)
+    monkeypatch.setattr(L, "BLOCK", 2)
+    assert decide(make_pages, PRESS, rows) == whole
+    assert {r.stop_reason for r in whole.values()} == {None, "no_products", "not_found", "after_not_found"}
+
+
 def test_frontier(make_pages, spark):
     pages = make_pages([(PRESS.source, SHOP, P1 + '<a href="/product/b/">b</a>' + P1), (PRESS.source, SHOP + "x", P1)])
     links = L.product_links(pages, PRESS)
