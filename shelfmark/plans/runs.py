@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfmark.functions import text as t
 from shelfmark.operators import chain as C
 from shelfmark.operators import links as L
 from shelfmark.operators import merge as M
+from shelfmark.operators import nodes as N
 from shelfmark.plans import shop_pages as S
-from shelfmark.plans.queries import CATALOG_COLUMNS, NEXT_PAGE_SQL, order_sightings, query, table
+from shelfmark.plans.queries import CATALOG_COLUMNS, NEXT_PAGE_SQL, PRODUCTS, order_sightings, query, table
 from shelfmark.profiles import PRESS
 from shelfmark.sources import exports as X
 from shelfmark.sources import tables as T
@@ -40,6 +42,19 @@ def export_ranges(spark, sf_dir):
     return rows.select(F.regexp_extract("file", r"run_id=(\d+)", 1).alias("run_id"), "position", "title", "price", F.array_join("genre", "/").alias("genre"))
 
 
+# ---- pages as rows of nodes -------------------------------------------------------------------
+
+@query(PRODUCTS + """
+SELECT p_partkey AS seq, concat_ws(' ', name, 'Issue ' || p_size, lang, form) AS title,
+       '₹' || format('{:,.2f}', p_retailprice + 50) || '|₹' || format('{:,.2f}', p_retailprice) AS prices,
+       'Writer=' || name || ' & Co, ' || p_brand || '|Pages=' || p_size || ' Pages|Format=' || coalesce(form, '') || '.' AS info FROM p""")
+def product_node_rows(spark, sf_dir):
+    """Title, prices and info rows of product pages, selected by interval tests over rows of nodes; one exchange, by page."""
+    found = N.product_nodes(S.press_pages(spark, sf_dir).select("seq", "html"), ["seq"], "woocommerce-Tabs-panel--additional_information")
+    lines = F.transform("info", lambda row: F.array_join(F.transform(row, t.clean_text), "="))
+    return found.select("seq", t.clean_text(F.col("title")).alias("title"), F.array_join("prices", "|").alias("prices"), F.array_join(lines, "|").alias("info"))
+
+
 # ---- chains of pages ------------------------------------------------------------------------
 
 def chained_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
