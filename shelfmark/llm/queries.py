@@ -83,7 +83,15 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
-@query()
+@query(r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+e AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM w WHERE len(w) > 0)),
+s AS (SELECT doc_id, count(*) AS n FROM e GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS inter FROM e AS a JOIN e AS b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM shared JOIN s AS p ON p.doc_id = a JOIN s AS q ON q.doc_id = b WHERE 100 * inter >= 85 * (p.n + q.n - inter)),
+r AS (SELECT doc_id, doc_id AS reached FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reached),
+c AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN s USING (doc_id)""")
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfmark.llm.minhash import near_duplicates
 
@@ -97,7 +105,19 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), length=2048, end_id=1, kind="digest")
 
 
-@query()
+@query("""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, p * 512 + o AS k, substr(part, 2 * o + 1, 100) AS s FROM (
+    SELECT doc_id, p, part, unnest(range(0, least(512, length(part) // 2 - 49))) AS o FROM (
+    SELECT doc_id, p, substr(h, 1024 * p + 1, 1122) AS part FROM (SELECT doc_id, h, unnest(range(0, length(h) // 1024 + 1)) AS p FROM d)))),
+hit AS (SELECT doc_id, k FROM win JOIN (SELECT s, min(doc_id) AS first FROM win GROUP BY s) USING (s) WHERE first < doc_id),
+runs AS (SELECT doc_id, min(k) AS a, max(k) + 50 AS b FROM (SELECT doc_id, k, sum(fresh) OVER (PARTITION BY doc_id ORDER BY k) AS run FROM (
+    SELECT doc_id, k, CASE WHEN k <= lag(k) OVER (PARTITION BY doc_id ORDER BY k) + 50 THEN 0 ELSE 1 END AS fresh FROM hit)) GROUP BY doc_id, run),
+gone AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, list(a ORDER BY a) AS starts, list(b ORDER BY a) AS ends FROM runs GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN starts IS NULL THEN h ELSE array_to_string(list_transform(range(0, len(starts) + 1), lambda i:
+           substr(h, 2 * coalesce(ends[i], 0) + 1, 2 * (coalesce(starts[i + 1], length(h) // 2) - coalesce(ends[i], 0)))), '') END)) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)""")
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfmark.llm.suffix_dedup import remove_repeats
 
