@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import text as t
 from shelfmark.functions.entities import unescape
 from shelfmark.functions.patterns import java
+from shelfmark.functions.text import settled
 from shelfmark.functions.urls import parts, resolve
 from shelfmark.operators.quality import first_per
 from shelfmark.operators.shred import from_html
@@ -63,10 +64,10 @@ def _hrefs(page: Column, profile: SourceProfile) -> Column:
 
 def _with_urls(found: DataFrame) -> DataFrame:
     """Rows with ``hrefs`` and the first base's href as ``named``: the urls they stand for as ``link_urls``.  A base is taken apart once a page."""
-    based = found.withColumn("link_base", F.when(F.col("named").isNull(), F.col("url")).otherwise(resolve(F.col("url"), F.col("named"))))
-    placed = based.withColumn("base_parts", parts(F.col("link_base")))
+    based = found.withColumn("link_base", settled(F.when(F.col("named").isNull(), F.col("url")).otherwise(resolve(F.col("url"), F.col("named")))))
+    placed = based.withColumn("base_parts", settled(parts(F.col("link_base"))))
     urls = F.array_distinct(F.transform("hrefs", lambda u: resolve(F.col("link_base"), u, F.col("base_parts"))))
-    return placed.withColumn("link_urls", urls).drop("hrefs", "named", "link_base", "base_parts")
+    return placed.withColumn("link_urls", settled(urls)).drop("hrefs", "named", "link_base", "base_parts")
 
 
 def product_links(pages: DataFrame, profile: SourceProfile) -> DataFrame:
@@ -75,8 +76,8 @@ def product_links(pages: DataFrame, profile: SourceProfile) -> DataFrame:
     Links are relative to the page's base element, else to its own url.  A page's hidden parts are taken out once.
     """
     mine = (pages.filter((F.col("source") == profile.source) & (F.col("status") == 200))
-            .select(*RUN, "seq", "url", visible(F.col("html")).alias("page")))
-    found = mine.select(*RUN, "seq", "url", _hrefs(F.col("page"), profile).alias("hrefs"), _first_base(F.col("page")).alias("named"))
+            .select(*RUN, "seq", "url", settled(visible(F.col("html"))).alias("page")))
+    found = mine.select(*RUN, "seq", "url", settled(_hrefs(F.col("page"), profile)).alias("hrefs"), settled(_first_base(F.col("page"))).alias("named"))
     return _with_urls(found.filter(F.size("hrefs") > 0)).select(*RUN, "seq", "url", F.explode("link_urls").alias("link_url"))
 
 
@@ -160,8 +161,8 @@ def listing_facts(pages: DataFrame, profile: SourceProfile) -> DataFrame:
     rules, ranked = _candidates(profile)
     html = F.when(F.col("status") == 200, F.col("html"))
     read = mine.select(*RUN, "seq", "url", "status", "block", html.alias("html")).withColumn("h", from_html(F.col("html"), rules))
-    read = read.withColumn("page", visible(F.col("html"))).withColumns({
-        "hrefs": _hrefs(F.col("page"), profile), "named": _first_base(F.col("page")), "here": F.coalesce(page_number(F.col("url"), profile), F.lit(1)),
+    read = read.withColumn("page", settled(visible(F.col("html")))).withColumns({
+        "hrefs": settled(_hrefs(F.col("page"), profile)), "named": settled(_first_base(F.col("page"))), "here": F.coalesce(page_number(F.col("url"), profile), F.lit(1)),
         "base": F.coalesce(resolve(F.col("url"), t.truthy(F.get(F.col("h.base_href"), F.lit(0)))), F.col("url"))})
     read = _with_urls(read.select(*RUN, "seq", "url", "status", "block", "hrefs", "named", F.when(F.col("status") == 200, ranked).alias("candidates")))
     return read.join(run_bounds(mine), [*RUN, "block"], "left").drop("block")

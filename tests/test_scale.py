@@ -17,3 +17,11 @@ def test_a_long_story_without_stops(make_pages):
     page = f'<h1 class="product_title">Zed Issue 4</h1><div class="woocommerce-Tabs-panel--description"><p>Made {story}</p></div>'
     row = extract_comics(make_pages([(PRESS.source, "https://press.example/product/z/", page)]), PRESS).select("title", "artists").first()
     assert row.title == "Zed Issue 4" and row.artists == [("abc " * 20_000).strip()]
+
+
+def test_links_look_at_a_page_once(make_pages):
+    pages = make_pages([(PRESS.source, "https://press.example/shop/", '<a href="/product/a/">a</a>')])
+    links = L.product_links(pages, PRESS)
+    assert [r.link_url for r in links.collect()] == ["https://press.example/product/a/"]
+    plan = links._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<!--") == 1
