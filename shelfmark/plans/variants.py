@@ -28,7 +28,7 @@ def pick(kind: Column, shapes: dict[int, Column], otherwise: Column) -> Column:
 
 
 def parts(spark: SparkSession, sf_dir: str, kinds: int) -> DataFrame:
-    return table(spark, sf_dir, "part").withColumns({
+    return S.dealt(table(spark, sf_dir, "part"), "p_partkey").withColumns({
         "kind": F.col("p_partkey") % kinds, "name": F.initcap("p_name"), "slug": F.replace("p_name", F.lit(" "), F.lit("-"))})
 
 
@@ -145,7 +145,7 @@ def next_page_more(spark, sf_dir):
     k = F.col("p_partkey")
     more = F.when(k % 2 == 0, S.render('<button class="load-more" data-url="/more/{k}">more</button>', k=k))
     html = S.render('<html><body><a href="/product/{k}/">p</a>{more}</body></html>', k=k, more=more)
-    pages = as_pages(table(spark, sf_dir, "part"), PRESS.source, F.expr(S.RUN_TS), S.render("https://press.example/shop/page/{k}/", k=k), html, -k)
+    pages = as_pages(S.dealt(table(spark, sf_dir, "part"), "p_partkey"), PRESS.source, F.expr(S.RUN_TS), S.render("https://press.example/shop/page/{k}/", k=k), html, -k)
     return L.next_page(pages, PRESS).select("seq", "new_products", "kind", "next_url", "stop_reason")
 
 
@@ -169,7 +169,7 @@ def next_page_retail(spark, sf_dir):
     html = S.render("<html><body>{product}{paging}</body></html>", product=product, paging=paging)
     url = F.when(s == "F", S.render("https://retail.example/cat-{n}", n=n)).otherwise(
         S.render("https://retail.example/index.php?route=product/category&path=1&page={n}", n=n))
-    pages = as_pages(table(spark, sf_dir, "orders"), RETAIL.source, F.col("o_orderdate"), url, html, n, run_id=F.date_format("o_orderdate", "yyyyMM"))
+    pages = as_pages(S.dealt(table(spark, sf_dir, "orders"), "o_orderkey"), RETAIL.source, F.col("o_orderdate"), url, html, n, run_id=F.date_format("o_orderdate", "yyyyMM"))
     return L.next_page(pages, RETAIL).select("run_id", "seq", "new_products", "kind", "next_url", "stop_reason")
 
 

@@ -25,3 +25,12 @@ def test_links_look_at_a_page_once(make_pages):
     assert [r.link_url for r in links.collect()] == ["https://press.example/product/a/"]
     plan = links._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("<!--") == 1
+
+
+def test_rendered_parts_are_dealt_to_all_cores(spark, tmp_path):
+    names = F.concat(F.lit("a b"), F.col("id").cast("string"))
+    part = spark.range(8).select(F.col("id").alias("p_partkey"), names.alias("p_name"), F.lit("PROMO").alias("p_type"), F.lit("Brand#12").alias("p_brand"),
+                                 F.lit(7).alias("p_size"), F.lit(9.5).alias("p_retailprice"))
+    part.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    for pages in (V.press_variants(spark, str(tmp_path)), V.retail_variants(spark, str(tmp_path))):
+        assert pages.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and pages.count() == 8
