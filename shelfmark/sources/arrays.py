@@ -1,27 +1,33 @@
-"""Array files read in parallel: a data source that cuts files into byte ranges and finds the records in them.
+"""Array files read in parallel: files are cut into byte ranges, and each range gives the records that begin in it.
 
 A place in a JSON file cannot be understood without what stands before it: it may lie in a string, at any depth.  So a file is read twice.
-The first read (``array_borders``) takes every range by itself and says, for both cases "starts outside a string" and "starts inside one",
-how the range ends: outside or inside, how much deeper or shallower, and how many commas stand at which depth relative to its start.  One row
-of numbers per range comes to the planner, as file splits do, and running sums give every range its true start.  The second read
-(``array_members``) then gives each member of the array from the range its leading ``[`` or ``,`` lies in, and reads on behind the range
+The first read (``_borders``) takes every range by itself and says, for both cases "starts outside a string" and "starts inside one",
+how the range ends: outside or inside, how much deeper or shallower, and how many commas stand at which depth relative to its start.  That is
+one row of numbers per range, and running sums over a file's rows give every range its true start.  The second read
+(``_members``) then gives each member of the array from the range its leading ``[`` or ``,`` lies in, and reads on behind the range
 only to finish its last member.
 
-Strings, escapes and nesting are followed exactly; a backslash before a range's first byte is looked up in the file.  Ranges are packed into
+Strings, escapes and nesting are followed exactly; a backslash before a range's first byte is looked up in the file.  Ranges are dealt to
 tasks by size, so that many small files do not become many tasks.
 """
 
 from __future__ import annotations
 
-import json
+import sys
 from collections.abc import Iterator
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from shelfmark.sources.work import saved, work_path
+
+# Executors get this module inside the task closure, so nothing has to be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 RANGE_BYTES = 32 << 20
 BLOCK = 1 << 20  # bytes looked at together
@@ -72,9 +78,15 @@ def structure(data: np.ndarray, escaped: bool, inside: bool) -> tuple[np.ndarray
     return at, _DELTA[data[at]].astype(np.int64), bool(len(run) and run[-1] % 2), bool(parity[-1] % 2) if len(data) else inside
 
 
-def blocks(file: pa.NativeFile, start: int, end: int) -> Iterator[np.ndarray]:
-    while start < end:
-        data = file.read_at(min(BLOCK, end - start), start)
+def blocks(file: pa.NativeFile, start: int, end: int, size: int | None = None) -> Iterator[np.ndarray]:
+    """The bytes from start to end; then those up to size, if asked for, in steps that begin small: few are looked at for a member's rest."""
+    step = 1 << 10
+    while start < max(end, size or 0):
+        if start < end:
+            data = file.read_at(min(BLOCK, end - start), start)
+        else:
+            data = file.read_at(min(BLOCK, step, size - start), start)
+            step *= 2
         if not data:
             return
         yield np.frombuffer(data, np.uint8)
@@ -128,7 +140,7 @@ def members(file: pa.NativeFile, r: Range) -> Iterator[tuple[int, bytes | None]]
     def stray(part: np.ndarray) -> bool:
         return not _SPACE[part].all()
 
-    for data in blocks(file, r.start, r.size):
+    for data in blocks(file, r.start, r.end, r.size):
         at, delta, escaped, inside = structure(data, escaped, inside)
         depths = depth + np.cumsum(delta)
         before = np.append(depth, depths[:-1])
@@ -174,53 +186,6 @@ def members(file: pa.NativeFile, r: Range) -> Iterator[tuple[int, bytes | None]]
         yield -1, None  # the file ends within the array, or before it
 
 
-def packed(ranges: list[Range], size: int) -> list[list[Range]]:
-    out, held = [], 0
-    for r in ranges:
-        if not out or held + r.end - r.start > size:
-            out.append([])
-            held = 0
-        out[-1].append(r)
-        held += r.end - r.start
-    return out
-
-
-class Ranges(InputPartition):
-    def __init__(self, ranges: list[Range]):
-        self.ranges = ranges
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.size = int(options["taskbytes"])
-        self.ranges = [Range(**r) for r in json.loads(options["ranges"])]
-
-    def partitions(self) -> list[Ranges]:
-        return [Ranges(some) for some in packed(self.ranges, self.size)] or [Ranges([])]
-
-
-class _Borders(_Reader):
-    def read(self, partition: Ranges) -> Iterator[tuple]:
-        for r in partition.ranges:
-            with open_file(r.path) as file:
-                yield r.path, r.start, json.dumps([summary(file, r.start, r.end, inside) for inside in (False, True)])
-
-
-class _Members(_Reader):
-    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
-        for r in partition.ranges:
-            with open_file(r.path) as file:
-                found, held, size = members(file, r), [], 0
-                for number, text in found:
-                    held.append((number, text))
-                    size += len(text or b"")
-                    if size > 4 * BLOCK or len(held) >= 4096:
-                        yield _rows(r.path, held)
-                        held, size = [], 0
-                if held:
-                    yield _rows(r.path, held)
-
-
 def _rows(path: str, held: list[tuple[int, bytes | None]]) -> pa.RecordBatch:
     values = [None if text is None else _decoded(text) for _, text in held]
     return pa.RecordBatch.from_arrays([pa.repeat(path, len(held)), pa.array([n for n, _ in held], pa.int64()), pa.array(values, pa.string())],
@@ -235,45 +200,84 @@ def _decoded(text: bytes) -> str | None:
         return None
 
 
-class ArrayBorders(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "array_borders"
+_SUMMARY = pa.struct([("inside", pa.bool_()), ("depth", pa.int64()), ("marks", pa.int64()), ("commas", pa.map_(pa.int64(), pa.int64()))])
+_BORDERS = pa.schema([("path", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("size", pa.int64()), ("outside", _SUMMARY), ("within", _SUMMARY)])
+BORDERS = ("path string, start long, end long, size long, " + ", ".join(
+    f"{c} struct<inside: boolean, depth: long, marks: long, commas: map<long, long>>" for c in ("outside", "within")))
 
-    def schema(self) -> str:
-        return "file string, start long, ends string"
 
-    def reader(self, schema) -> DataSourceReader:
-        return _Borders(self.options)
+def _numbers(file: pa.NativeFile, start: int, end: int, inside: bool) -> dict:
+    told = summary(file, start, end, inside)
+    return told | {"commas": [(int(d), n) for d, n in told["commas"].items()]}
 
 
-class ArrayMembers(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "array_members"
+def _borders(range_bytes: int):
+    """Pieces of files to the borders of their ranges; a piece is opened once."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in batch.to_pylist():
+                rows, size = [], piece["size"]
+                with open_file(piece["path"]) as file:
+                    for at in range(piece["start"], piece["end"], range_bytes):
+                        end = min(at + range_bytes, size)
+                        rows.append({"path": piece["path"], "start": at, "end": end, "size": size,
+                                     "outside": _numbers(file, at, end, False), "within": _numbers(file, at, end, True)})
+                yield pa.RecordBatch.from_pylist(rows, schema=_BORDERS)
+    return read
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges with their true starts to the members that begin in them; ranges of one file that follow each other share one opening."""
+    path, file = None, None
+    try:
+        for batch in batches:
+            for row in batch.to_pylist():
+                r = Range(**row)
+                if r.path != path:
+                    if file is not None:
+                        file.close()
+                    path, file = r.path, open_file(r.path)
+                held, size = [], 0
+                for number, text in members(file, r):
+                    held.append((number, text))
+                    size += len(text or b"")
+                    if size > 4 * BLOCK or len(held) >= 4096:
+                        yield _rows(r.path, held)
+                        held, size = [], 0
+                if held:
+                    yield _rows(r.path, held)
+    finally:
+        if file is not None:
+            file.close()
 
-    def schema(self) -> str:
-        return "file string, position long, value string"
 
-    def reader(self, schema) -> DataSourceReader:
-        return _Members(self.options)
+def true_starts(borders: DataFrame) -> DataFrame:
+    """``resolved`` as running sums over each file's ranges: (path, start, end, size, inside, depth, members, opened)."""
+    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    total = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
+    told = borders.withColumn("inside", total(F.col("outside.inside").cast("int")) % 2 == 1)
+    told = told.withColumn("told", F.when(F.col("inside"), F.col("within")).otherwise(F.col("outside"))).drop("outside", "within")
+    told = told.withColumn("depth", total("told.depth"))
+    found = F.coalesce(F.try_element_at("told.commas", 1 - F.col("depth")), F.lit(0))
+    told = told.withColumn("found", found)
+    return told.withColumns({"members": total("found"), "opened": total("told.marks") > 0}).select(
+        "path", "start", "end", "size", "inside", "depth", "members", "opened")
 
 
 def read_members(spark: SparkSession, paths: str | list[str], range_bytes: int = RANGE_BYTES, task_bytes: int | None = None) -> DataFrame:
     """(file, position, value): the text of every member of the array in each file.  Where a file is found not to be one array, it has a row
     without a value; which members are JSON is not looked at.
 
-    Tasks read ranges of at most range_bytes, several where these are small, and some megabytes at a time.  The files' names, sizes and the
-    numbers of each range are what the planner holds.
+    Files are cut into pieces of about task_bytes, pieces are dealt to as many tasks as their bytes ask for, and a task reads on range
+    by range (of at most range_bytes), some megabytes at a time.  Ranges and their numbers are rows of a stored table; all that comes to the
+    driver is the number of bytes.
     """
-    spark.dataSource.register(ArrayBorders)
-    spark.dataSource.register(ArrayMembers)
-    files = spark.read.format("binaryFile").load(paths).select("path", "length").orderBy("path").collect()
-    cut = {f.path: [Range(f.path, at, min(at + range_bytes, f.length), f.length) for at in range(0, f.length, range_bytes)] for f in files}
-
-    def load(name: str, ranges: list[Range]) -> DataFrame:
-        return (spark.read.format(name).option("ranges", json.dumps([asdict(r) for r in ranges]))
-                .option("taskbytes", task_bytes or range_bytes).load())
-
-    ends = {(r.file, r.start): json.loads(r.ends) for r in load("array_borders", [r for f in cut.values() for r in f]).collect()}
-    return load("array_members", [r for f in cut.values() for r in resolved([(x, ends[x.path, x.start]) for x in f])])
+    in_piece = range_bytes * max(1, (task_bytes or range_bytes) // range_bytes)
+    files = spark.read.format("binaryFile").load(paths).filter("length > 0").select("path", F.col("length").alias("size"))
+    tasks = -(-(files.agg(F.sum("size")).first()[0] or 1) // in_piece)
+    pieces = files.withColumn("start", F.explode(F.expr(f"sequence(0L, size - 1, {in_piece}L)"))).withColumn("end", F.least(F.col("start") + in_piece, "size"))
+    borders = pieces.repartitionByRange(tasks, "path", "start").mapInArrow(_borders(range_bytes), BORDERS)
+    ranges = saved(true_starts(borders), work_path(spark, "array-ranges"))
+    # Ranges that follow each other go to one task, in order.
+    dealt = ranges.repartitionByRange(tasks, "path", "start").sortWithinPartitions("path", "start")
+    return dealt.mapInArrow(_members, "file string, position long, value string")

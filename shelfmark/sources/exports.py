@@ -60,7 +60,7 @@ def read_export(spark: SparkSession, paths: str | list[str], range_bytes: int =
 
     A file with anything in it that is no JSON is rejected whole, so the files are read once more to find these; only their names are kept.
     """
-    members = read_members(spark, paths, range_bytes, task_bytes).select("file", "position", F.try_parse_json("value").alias("item"))
+    members = read_members(spark, paths, range_bytes, task_bytes).select("file", "position", t.settled(F.try_parse_json("value")).alias("item"))
     bad = members.filter(F.col("item").isNull()).select("file").distinct()
     return _records(members.join(bad, "file", "left_anti"))
 

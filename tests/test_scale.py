@@ -34,3 +34,39 @@ def test_rendered_parts_are_dealt_to_all_cores(spark, tmp_path):
     part.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
     for pages in (V.press_variants(spark, str(tmp_path)), V.retail_variants(spark, str(tmp_path))):
         assert pages.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and pages.count() == 8
+
+
+def test_a_small_range_reads_little(tmp_path):
+    path = tmp_path / "a.json"
+    path.write_text("[" + ",".join(json.dumps({"n": i, "t": "]" * (i % 50)}) for i in range(100_000)) + "]")
+    size = path.stat().st_size
+
+    class Counted:
+        def __init__(self, file):
+            self.file, self.bytes = file, 0
+
+        def read_at(self, n, at):
+            data = self.file.read_at(n, at)
+            self.bytes += len(data)
+            return data
+
+    with A.open_file(str(path)) as file:
+        counted = Counted(file)
+        found = list(A.members(counted, A.Range(str(path), 0, 8192, size)))
+    assert len(found) > 100 and counted.bytes < 32 << 10
+
+
+def test_running_sums_give_true_starts(spark, tmp_path):
+    text = json.dumps([{"a": ['"[', "\\", {"b": "]],{"}], "c": i} if i % 3 else "],[" for i in range(40)], indent=1)
+    path = tmp_path / "a.json"
+    path.write_text(text)
+    size, step = len(text), 7
+    told, rows = [], []
+    with A.open_file(str(path)) as file:
+        for at in range(0, size, step):
+            r, ends = A.Range(str(path), at, min(at + step, size), size), [A.summary(file, at, min(at + step, size), k) for k in (False, True)]
+            told.append((r, ends))
+            number = lambda e: (e["inside"], e["depth"], e["marks"], {int(d): n for d, n in e["commas"].items()})
+            rows.append((r.path, r.start, r.end, r.size, *map(number, ends)))
+    got = A.true_starts(spark.createDataFrame(rows, A.BORDERS)).orderBy("start").collect()
+    assert [A.Range(**r.asDict()) for r in got] == A.resolved(told)
