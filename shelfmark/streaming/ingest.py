@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -42,8 +43,9 @@ def record_stream(pages: DataFrame, profiles: list[SourceProfile] = PROFILES) ->
 class FirstArrival(StatefulProcessor):
     """Per (run, source, url): of the micro-batch that brings the url first, the record with the lowest (seq, ord); later ones are dropped.
 
-    State is the time of the last sighting.  With a delay, a url is forgotten once the watermark is that far past it, by a timer, or at once
-    when a later record meets state whose time is up.
+    State is the time of the last sighting, for the urls of one bucket together, so that a bucket asks the state store once a micro-batch and not
+    once a url.  With a delay, a url is forgotten once the watermark is that far past it: by the bucket's timer, which stands at the first of its
+    urls, or at once when a later record meets state whose time is up.
     """
 
     def __init__(self, columns: list[str], delay_ms: int | None):
@@ -51,40 +53,59 @@ class FirstArrival(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "at long")
+        self.seen = handle.getValueState("seen", "at string")
+
+    def _held(self) -> dict[str, int]:
+        held = self.seen.get()
+        return {} if held is None else json.loads(held[0])
+
+    def _hold(self, at: dict[str, int], timer: int | None) -> None:
+        """The bucket's times, and its timer moved from where it was."""
+        due = None if self.delay is None or not at else min(at.values()) + self.delay
+        if due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if due is not None:
+                self.handle.registerTimer(due)
+        if at:
+            self.seen.update((json.dumps(at),))
+        else:
+            self.seen.clear()
+
+    def _kept(self, at: dict[str, int], watermark: int) -> dict[str, int]:
+        return at if self.delay is None else {url: t for url, t in at.items() if t + self.delay > watermark}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        best, latest = None, None
+        best, latest = {}, {}
         for r in rows:  # a stream: a url that half of a batch shares is held as one row
-            rank = (r["__seq"], r["__ord"])
-            if best is None or rank < best[0]:
-                best = (rank, r)
-            latest = r["__at"] if latest is None else max(latest, r["__at"])
-        before = self.seen.get()[0] if self.seen.exists() else None
-        if before is not None and self.delay is not None:
-            self.handle.deleteTimer(before + self.delay)
-            if before + self.delay <= timerValues.getCurrentWatermarkInMs():
-                before = None
-        at = latest if before is None else max(before, latest)
-        self.seen.update((at,))
-        if self.delay is not None:
-            self.handle.registerTimer(at + self.delay)
-        if before is None and best is not None:
-            yield Row(**{c: best[1][c] for c in self.columns})
+            url, rank, at = r["url"], (r["__seq"], r["__ord"]), r["__at"]
+            if url not in best or rank < best[url][0]:
+                best[url] = (rank, r)
+            latest[url] = max(latest.get(url, at), at)
+        held = self._held()
+        timer = min(held.values()) + self.delay if held and self.delay is not None else None
+        at = self._kept(held, 0 if self.delay is None else timerValues.getCurrentWatermarkInMs())
+        new = [best[url][1] for url in best if url not in at]
+        for url, t in latest.items():
+            at[url] = max(at.get(url, t), t)
+        self._hold(at, timer)
+        for r in new:
+            yield Row(**{c: r[c] for c in self.columns})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.seen.clear()
+        self._hold(self._kept(self._held(), timerValues.getCurrentWatermarkInMs()), None)
         return iter(())
 
     def close(self) -> None:
         pass
 
 
-def dedupe_stream(records: DataFrame, delay: str | None = None) -> tuple[DataFrame, DataFrame]:
+def dedupe_stream(records: DataFrame, delay: str | None = None, buckets: int = 1 << 14) -> tuple[DataFrame, DataFrame]:
     """(records with a url, one per run and url; records without one, all of them).
 
     The first micro-batch that brings a url decides, and in it the lowest (seq, ord), as in a batch job.  State is one time per url;
     ``delay`` bounds it by ``fetched_at``: a url is forgotten that long after it was last seen, and records later than that are dropped.
+    Urls of a run and source are dealt to ``buckets``, whose state is held as one row each; a checkpoint keeps to one number of them.
     The session's state store must be RocksDB (``session.SETTINGS``).
     """
     has_url = truthy(F.col("url")).isNotNull()
@@ -92,9 +113,10 @@ def dedupe_stream(records: DataFrame, delay: str | None = None) -> tuple[DataFra
     number = lambda c, default: F.coalesce(F.col(c).cast("long") if c in records.columns else F.lit(None).cast("long"), F.lit(default))
     if delay is not None:
         with_url = with_url.withWatermark("fetched_at", delay)
-    ranked = with_url.withColumns({"__seq": number("seq", 1 << 62), "__ord": number("ord", 0), "__at": F.coalesce(F.unix_millis("fetched_at"), F.lit(0))})
+    ranked = with_url.withColumns({"__seq": number("seq", 1 << 62), "__ord": number("ord", 0), "__at": F.coalesce(F.unix_millis("fetched_at"), F.lit(0)),
+                                "__bucket": F.pmod(F.xxhash64("url"), F.lit(buckets))})
     processor = FirstArrival(records.columns, None if delay is None else int(pd.Timedelta(delay).total_seconds() * 1000))
-    firsts = ranked.groupBy("run_id", "source", "url").transformWithState(processor, records.schema, "Append", "None" if delay is None else "EventTime")
+    firsts = ranked.groupBy("run_id", "source", "__bucket").transformWithState(processor, records.schema, "Append", "None" if delay is None else "EventTime")
     return firsts, without
 
 
