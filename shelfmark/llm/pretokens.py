@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-from shelfmark.llm.common import ragged, span_hashes
+from shelfmark.llm.common import mix, ragged, span_hashes
 
 L, N, S, O, UNSURE, UNKNOWN = range(6)  # letter, number, white space, other, not assigned here, not looked up yet
 
@@ -112,6 +112,14 @@ def _unsure(at: np.ndarray, kind: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return odd
 
 
+def _extended(held: np.ndarray, n: int, more: np.ndarray) -> tuple[np.ndarray, int]:
+    """An array whose first n values are in use, with more behind them; its room doubles."""
+    if n + len(more) > len(held):
+        held = np.concatenate([held[:n], np.empty(max(len(held), len(more)) + n, held.dtype)])
+    held[n:n + len(more)] = more
+    return held, n + len(more)
+
+
 class Memo:
     """Value list of each distinct pre-token: an open-addressing table over its hash, checked by its whole content: the first and last 8 bytes,
     and for those of more than 16 the bytes themselves, which are kept.
@@ -127,9 +135,10 @@ class Memo:
 
     def clear(self) -> None:
         self.slot = np.full(1 << self.bits, -1, np.int32)
-        self.keys, self.heads, self.tails, self.sizes = (np.zeros(0, np.uint64) for _ in range(4))
-        self.starts, self.lengths, self.values = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.long, self.long_at = np.zeros(0, np.uint8), np.zeros(0, np.int64)
+        self.n = self.n_values = self.n_long = 0
+        self.keys, self.heads, self.tails, self.sizes = (np.empty(self.most, np.uint64) for _ in range(4))
+        self.starts, self.lengths, self.long_at = (np.empty(self.most, np.int64) for _ in range(3))
+        self.values, self.long = np.empty(1 << 16, np.int32), np.empty(1 << 16, np.uint8)
 
     def _find(self, h: np.ndarray) -> np.ndarray:
         mask = np.uint64(len(self.slot) - 1)
@@ -158,7 +167,6 @@ class Memo:
 
     def look_up(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Entry of each pre-token, and a mask of those whose hash belongs to another one (they need another way)."""
-        h = span_hashes(data, starts, ends)
         padded = np.concatenate([np.zeros(8, np.uint8), data, np.zeros(8, np.uint8)])
         words = np.ndarray((len(data) + 9,), "<u8", padded.data, strides=(1,))
         size = (ends - starts).astype(np.uint64)
@@ -166,13 +174,17 @@ class Memo:
         head = words[starts + 8] << (np.uint64(64) - short)
         tail = words[ends]
         tail = np.where(size >= 8, tail, np.uint64(0))
+        # Up to 16 bytes the two words and the size are the whole content.
+        h = mix(mix(head + size * np.uint64(0x9E3779B97F4A7C15)) ^ tail * np.uint64(0xD1342543DE82EF95))
+        big = np.flatnonzero(size > 16)
+        h[big] = span_hashes(data, starts[big], ends[big])
         entry = self._find(h)
         lost = np.flatnonzero(entry < 0)
         if len(lost):
-            if len(self.keys) + len(lost) > self.most or len(self.long) > self.MOST_BYTES:
+            if self.n + len(lost) > self.most or self.n_long > self.MOST_BYTES:
                 self.clear()
                 lost = np.arange(len(h))
-            keys, one = np.unique(h[lost], return_index=True)
+            keys, one, which = np.unique(h[lost], return_index=True, return_inverse=True)
             one = lost[one]
             while len(self.slot) * 6 < len(keys) * 10:
                 self.bits += 1
@@ -180,20 +192,20 @@ class Memo:
                 self.clear()
             raw = data.tobytes()
             lengths, values = self.compute([raw[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist(), strict=True)])
-            before = len(self.keys)
-            self.starts = np.concatenate([self.starts, np.cumsum(lengths) - lengths + len(self.values)])
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.values = np.concatenate([self.values, values])
-            self.keys = np.concatenate([self.keys, keys])
-            self.heads, self.tails, self.sizes = (np.concatenate([x, y[one]]) for x, y in ((self.heads, head), (self.tails, tail), (self.sizes, size)))
-            big = np.where(size[one] > 16, ends[one] - starts[one], 0)
-            self.long_at = np.concatenate([self.long_at, np.cumsum(big) - big + len(self.long)])
-            if big.any():
-                self.long = np.concatenate([self.long, data[ragged(big, starts[one])]])
-            self._insert(keys, before)
-            entry = self._find(h)
+            new = slice(self.n, self.n + len(keys))
+            self.starts[new] = np.cumsum(lengths) - lengths + self.n_values
+            self.lengths[new] = lengths
+            self.values, self.n_values = _extended(self.values, self.n_values, values)
+            self.keys[new], self.heads[new], self.tails[new], self.sizes[new] = keys, head[one], tail[one], size[one]
+            over = np.where(size[one] > 16, ends[one] - starts[one], 0)
+            self.long_at[new] = np.cumsum(over) - over + self.n_long
+            if over.any():
+                self.long, self.n_long = _extended(self.long, self.n_long, data[ragged(over, starts[one])])
+            self._insert(keys, self.n)
+            entry[lost] = self.n + which
+            self.n += len(keys)
         other = (self.heads[entry] != head) | (self.tails[entry] != tail) | (self.sizes[entry] != size)
-        big = np.flatnonzero((size > 16) & ~other)
+        big = big[~other[big]]
         if len(big):
             sizes = ends[big] - starts[big]
             equal = data[ragged(sizes, starts[big])] == self.long[ragged(sizes, self.long_at[entry[big]])]

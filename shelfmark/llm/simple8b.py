@@ -10,11 +10,15 @@ BLOCK = 256  # values per block; every block begins with a word of its own
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 
+_LIMITS = np.array([1 << int(b) for b in BITS[1:]], np.uint64)
+_SMALL = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), "right").astype(np.uint8)
+
 
 def _widths(values: np.ndarray) -> np.ndarray:
     """Lowest selector rank that holds each value: 0 for zero bits ... 14 for sixty, 15 for an escape."""
-    limits = np.array([1 << int(b) for b in BITS[1:]], np.uint64)
-    return np.searchsorted(limits, values, "right").astype(np.uint8)
+    if len(values) and values.max() < len(_SMALL):
+        return _SMALL[values]
+    return np.searchsorted(_LIMITS, values, "right").astype(np.uint8)
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -57,15 +61,18 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     selectors = chosen[block, at]
     place = np.cumsum(1 + (selectors == 0)) - 1 - (selectors == 0)
     words = np.zeros(int(place[-1]) + 1 + int(selectors[-1] == 0), np.uint64)
+    cell = block * grid.shape[1] + at
+    grid = grid.reshape(-1)
     for selector in np.unique(selectors).tolist():
-        some = selectors == selector
+        some = np.flatnonzero(selectors == selector)
+        first = cell[some]
         if selector == 0:
-            words[place[some] + 1] = grid[block[some], at[some]]
+            words[place[some] + 1] = grid[first]
             continue
         n = int(COUNTS[selector])
-        packed = np.full(int(some.sum()), selector << 60, np.uint64)
+        packed = np.full(len(some), selector << 60, np.uint64)
         for k in range(n if selector > 1 else 0):
-            packed |= grid[block[some], at[some] + k] << np.uint64(k * int(BITS[selector]))
+            packed |= grid[first + k] << np.uint64(k * int(BITS[selector]))
         words[place[some]] = packed
     return words, place[np.searchsorted(block, np.arange(blocks))].astype(np.uint32)
 

@@ -140,3 +140,38 @@ def test_a_pre_token_is_compared_whole(monkeypatch):
     memo = pretokens.Memo(lambda words: (np.ones(len(words), np.int64), np.array([w[15] for w in words], np.int32)))
     entry, other = memo.look_up(data, np.array([0, 40, 0]), np.array([40, 80, 40]))
     assert other.tolist() == [False, True, False] and memo.gather(entry[:1]).tolist() == [ord("x")]
+
+
+def test_new_pre_tokens_reach_the_library_many_to_a_text():
+    from shelfmark.llm.byte_ids import ByteIds
+
+    encoder, texts = ByteIds(P.path("byte_bpe_50k.json")), []
+    merger = encoder.merger
+
+    class Counted:
+        def encode_batch_fast(self, batch, **more):
+            texts.extend(batch)
+            return merger.encode_batch_fast(batch, **more)
+
+    encoder.merger = Counted()
+    words = [f" w{k:x}é".encode() for k in range(700)] + ["\n\n ".encode(), "日本語".encode(), b" " * 9, b"q" * 3000, "🎉ÿ\x00\x7f­".encode(), b"'ll"]
+    lengths, ids = encoder._encode(words)
+    assert len(texts) < 20
+    expected = [encoder.library.encode(w.decode(), add_special_tokens=False).ids for w in words]
+    whole = [w for w, x in zip(words, expected) if len(encoder.library.encode(w.decode()).word_ids) and set(encoder.library.encode(w.decode()).word_ids) == {0}]
+    at = np.cumsum(lengths) - lengths
+    got = {w: ids[a:a + n].tolist() for w, a, n in zip(words, at, lengths)}
+    assert sum(lengths) == len(ids) and whole and all(got[w] == expected[words.index(w)] for w in whole)
+
+
+def test_a_full_memo_starts_again_with_the_same_values():
+    from shelfmark.llm.pretokens import Memo
+
+    memo = Memo(lambda words: (np.array([len(w) for w in words]), np.frombuffer(b"".join(words), np.uint8).astype(np.int32)), bits=6)
+    r = random.Random(2)
+    for n in (30, 30, 5, 200, 30, 0):
+        words = ["".join(r.choice("abé") for _ in range(r.randint(1, 30))).encode() for _ in range(n)]
+        sizes = np.array([len(w) for w in words], np.int64)
+        ends = np.cumsum(sizes)
+        entry, other = memo.look_up(np.frombuffer(b"".join(words), np.uint8), ends - sizes, ends)
+        assert not other.any() and memo.gather(entry).tolist() == list(b"".join(words))
