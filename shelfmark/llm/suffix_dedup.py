@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import delete, flat, id_text, mix, ragged, span_hashes, written
+from shelfmark.llm.common import delete, flat, id_text, mix, ragged, written
 from shelfmark.llm.cover_sort import equal_runs, sorted_suffixes
 from shelfmark.llm.words import groups
 
@@ -49,8 +49,7 @@ def pieces(data: np.ndarray, offs: np.ndarray, length: int) -> tuple[np.ndarray,
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none, none, none, none, none
-    words = np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data).data, strides=(1,))
-    grams = mix(words[:-8] * np.uint64(0x9E3779B97F4A7C15) ^ mix(words[8:]))
+    grams = _grams(data)
     key = _least(grams, length - GRAM + 1)
     valid = np.zeros(len(key) + 1, np.int8)
     ends = np.maximum(offs[1:] - length + 1, offs[:-1])
@@ -69,7 +68,23 @@ def pieces(data: np.ndarray, offs: np.ndarray, length: int) -> tuple[np.ndarray,
         k = ragged(parts, np.zeros(len(parts), np.int64))
         first, last, doc = np.repeat(first, parts) + k * MOST_WINDOWS, np.repeat(last, parts), np.repeat(doc, parts)
     n = np.minimum(last - first, MOST_WINDOWS)
-    return doc, first, n, key[first].view(np.int64), span_hashes(data, first, first + n + length - 1).view(np.int64)
+    return doc, first, n, key[first].view(np.int64), _contents(grams, first, n + length - 1).view(np.int64)
+
+
+def _grams(data: np.ndarray) -> np.ndarray:
+    """Hash of the 16 bytes from each position on."""
+    words = np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data).data, strides=(1,))
+    return mix(words[:-8] * np.uint64(0x9E3779B97F4A7C15) ^ mix(words[8:]))
+
+
+def _contents(grams: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hash of each span of 16 bytes or more: its grams side by side, the last one ending with it, each mixed with its place, and its size."""
+    total = np.zeros(len(starts), np.uint64)
+    for k in range(-(-int(sizes.max()) // GRAM) if len(sizes) else 0):
+        some = np.flatnonzero(sizes > k * GRAM)
+        at = starts[some] + np.minimum(k * GRAM, sizes[some] - GRAM)
+        total[some] += mix(grams[at] ^ mix(np.full(1, k + 1, np.uint64)))
+    return mix(total + sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def _batch_pieces(texts: pa.Array, length: int) -> Iterator[tuple]:
@@ -89,7 +104,7 @@ def _keyed(length: int):
             if not found:
                 continue
             doc, key, content = (np.concatenate(x) for x in zip(*found, strict=True))
-            order = np.lexsort((doc, content, key))
+            order = np.lexsort((doc, content))  # equal contents have equal keys
             doc, key, content = doc[order], key[order], content[order]
             other = np.append(True, (key[1:] != key[:-1]) | (content[1:] != content[:-1])) if len(key) else np.zeros(0, bool)
             one = other.copy()
@@ -101,45 +116,79 @@ def _keyed(length: int):
     return run
 
 
+def _names(doc: np.ndarray, key: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """One number for a piece of a document."""
+    return mix(key.view(np.uint64) ^ mix(content.view(np.uint64) + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+
+
+def _listed(lists: pa.Array, *fields: str) -> tuple[np.ndarray, ...]:
+    """The row of each listed struct, and its fields; a null is an empty list."""
+    sizes = np.diff(np.frombuffer(lists.buffers()[1], np.int32, len(lists) + 1, lists.offset * 4)).astype(np.int64) if len(lists) else np.zeros(0, np.int64)
+    sizes[np.array(lists.is_null().to_pylist(), bool)] = 0
+    every = lists.flatten()
+    return np.repeat(np.arange(len(lists)), sizes), *(every.field(x).to_numpy(zero_copy_only=False) for x in fields)
+
+
+def _binary(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data[ragged(sizes, starts)])])
+
+
 def _cut_out(length: int):
     """key, content, doc, many, bytes of the pieces that are listed with each document."""
     def run(batches):
         for batch in batches:
             ids = batch.column("doc").to_numpy(zero_copy_only=False)
-            wanted = batch.column("wanted")
+            w_doc, w_key, w_content, w_many = _listed(batch.column("wanted"), "key", "content", "many")
             for i, j, part, doc, first, n, key, content in _batch_pieces(batch.column("text"), length):
-                raw = part.tobytes()
-                for d in range(i, j):
-                    lo, hi = np.searchsorted(doc, [d - i, d - i + 1])
-                    want = wanted[d].values
-                    asked = {(k, c): m for k, c, m in zip(*(want.field(f).to_pylist() for f in ("key", "content", "many")), strict=True)}
-                    rows = []
-                    for s, m, k, c in zip(first[lo:hi].tolist(), n[lo:hi].tolist(), key[lo:hi].tolist(), content[lo:hi].tolist(), strict=True):
-                        many = asked.pop((k, c), None)
-                        if many is not None:
-                            rows.append((k, c, int(ids[d]), many, raw[s:s + m + length - 1]))
-                    if rows:
-                        k, c, x, m, b = zip(*rows, strict=True)
-                        yield pa.RecordBatch.from_pydict({"key": pa.array(k, pa.int64()), "content": pa.array(c, pa.int64()), "doc": pa.array(x, pa.int64()),
-                                                          "many": pa.array(m, pa.bool_()), "bytes": pa.array(b, pa.binary())})
+                lo, hi = np.searchsorted(w_doc, [i, j])
+                asked, one = np.unique(_names(w_doc[lo:hi] - i, w_key[lo:hi], w_content[lo:hi]), return_index=True)
+                mine, place = np.unique(_names(doc, key, content), return_index=True)  # of a piece that a document repeats, the first
+                if not len(mine):
+                    continue
+                at = np.minimum(np.searchsorted(mine, asked), len(mine) - 1)
+                there = mine[at] == asked
+                at, many = place[at[there]], w_many[lo:hi][one[there]]
+                order = np.argsort(at)
+                for k in range(0, len(at), 1 << 16):
+                    o = order[k:k + (1 << 16)]
+                    x = at[o]
+                    yield pa.RecordBatch.from_pydict({"key": pa.array(key[x]), "content": pa.array(content[x]), "doc": pa.array(ids[i + doc[x]]), "many": pa.array(many[o]),
+                                                      "bytes": _binary(part, first[x], n[x] + length - 1)})
     return run
 
 
 PART = "doc long, key long, content long, a int, b int"
 
 
-def _spans(docs: np.ndarray, keys: np.ndarray, contents: np.ndarray, raw: list[bytes], length: int) -> pa.RecordBatch:
-    """Runs of windows (from a to b, exclusive) of each piece that start in a smaller document too, over one block of pieces."""
-    sizes = np.array([len(x) for x in raw], np.int64)
-    text = np.frombuffer(b"".join(raw), np.uint8)
+def _repeated(hashes: np.ndarray) -> np.ndarray:
+    order = np.argsort(hashes)
+    equal = hashes[order[1:]] == hashes[order[:-1]]
+    out = np.zeros(len(hashes), bool)
+    out[order[1:][equal]] = True
+    out[order[:-1][equal]] = True
+    return out
+
+
+def _spans(docs: np.ndarray, keys: np.ndarray, contents: np.ndarray, text: np.ndarray, sizes: np.ndarray, length: int) -> pa.RecordBatch:
+    """Runs of windows (from a to b, exclusive) of each piece that start in a smaller document too, over one block of pieces.
+
+    A window whose hash no other window of the block has is equal to none, so only the others, and the pieces that hold them, are put in order."""
     starts = np.cumsum(sizes) - sizes
     n = sizes - length + 1
-    owner = np.repeat(np.arange(len(raw)), n)
+    at = ragged(n, starts)
+    grams, owner = _grams(text), np.repeat(np.arange(len(n)), n)
+    twice = _repeated(_contents(grams, at, np.full(len(at), length)))
+    some = np.flatnonzero(np.bincount(owner[twice], minlength=len(n)))
+    docs, keys, contents, twice = docs[some], keys[some], contents[some], twice[ragged(n[some], (np.cumsum(n) - n)[some])]
+    text, sizes, n = text[ragged(sizes[some], starts[some])], sizes[some], n[some]
+    starts = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(n)), n)
     at = ragged(n, starts)
     place = np.full(len(text), -1, np.int64)
     place[at] = np.arange(len(at))
     hit = np.zeros(len(at), bool)
-    for order in sorted_suffixes(text, at, length):
+    for order in sorted_suffixes(text, at[twice], length):
         run = equal_runs(text, order, length)
         who = docs[owner[place[order]]]
         begins = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
@@ -159,20 +208,21 @@ def _compared(length: int):
     def run(batches):
         held: list[tuple] = []
         size = 0
-
-        def block():
-            k, c, d, raw = zip(*held, strict=True)
-            return _spans(np.array(d, np.int64), np.array(k, np.int64), np.array(c, np.int64), list(raw), length)
-
         for batch in batches:
-            for row in zip(*(batch.column(x).to_pylist() for x in ("key", "content", "doc", "bytes")), strict=True):
-                if size > BLOCK_BYTES and row[0] != held[-1][0]:
-                    yield block()
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[3])
+            if not batch.num_rows:
+                continue
+            data, offs = flat(batch.column("bytes"))
+            held.append((*(batch.column(x).to_numpy(zero_copy_only=False) for x in ("doc", "key", "content")), data, np.diff(offs)))
+            size += len(data)
+            if size > BLOCK_BYTES:
+                docs, keys, contents, text, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
+                k = int(np.append(0, np.flatnonzero(keys != keys[-1]) + 1)[-1])  # where the last key begins: it may go on
+                b = int(sizes[:k].sum())
+                if k:
+                    yield _spans(docs[:k], keys[:k], contents[:k], text[:b], sizes[:k], length)
+                held, size = [(docs[k:], keys[k:], contents[k:], text[b:], sizes[k:])], len(text) - b
         if held:
-            yield block()
+            yield _spans(*(np.concatenate(x) for x in zip(*held, strict=True)), length)
     return run
 
 
@@ -190,28 +240,21 @@ def _removed(length: int, keep_text: bool):
     """The result row of each document; found lists its pieces (key, content) with runs of windows."""
     def run(batches):
         for batch in batches:
-            lists = batch.column("found")
-            sizes = np.diff(np.frombuffer(lists.buffers()[1], np.int32, len(lists) + 1, lists.offset * 4)).astype(np.int64) if len(lists) else np.zeros(0, np.int64)
-            sizes[np.array(lists.is_null().to_pylist(), bool)] = 0
-            flat_found = lists.flatten()
-            f_doc = np.repeat(np.arange(len(lists)), sizes)
-            f_key, f_content, f_a, f_b = (flat_found.field(x).to_numpy(zero_copy_only=False) for x in ("key", "content", "a", "b"))
+            f_doc, f_key, f_content, f_a, f_b = _listed(batch.column("found"), "key", "content", "a", "b")
+            _, every = flat(batch.column("text"))
             out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
             texts = []
             for i, j, part, doc, first, n, key, content in _batch_pieces(batch.column("text"), length):
                 lo, hi = np.searchsorted(f_doc, [i, j])
-                name = lambda d, k, c: mix(k.view(np.uint64) ^ mix(c.view(np.uint64) + d.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-                mine = name(doc + i, key, content)
-                theirs = name(f_doc[lo:hi], f_key[lo:hi], f_content[lo:hi])
+                mine = _names(doc, key, content)
+                theirs = _names(f_doc[lo:hi] - i, f_key[lo:hi], f_content[lo:hi])
                 order = np.argsort(mine, kind="stable")
                 left, right = np.searchsorted(mine[order], theirs), np.searchsorted(mine[order], theirs, "right")
                 at = order[ragged(right - left, left)]
                 a, b = np.repeat(f_a[lo:hi], right - left), np.repeat(f_b[lo:hi], right - left)
-                edge = np.zeros(len(part) + 1, np.int64)
-                np.add.at(edge, first[at] + a, 1)
-                np.add.at(edge, first[at] + np.where(b < 0, n[at], b) + length - 1, -1)
+                edge = np.bincount(first[at] + a, minlength=len(part) + 1) - np.bincount(first[at] + np.where(b < 0, n[at], b) + length - 1, minlength=len(part) + 1)
                 gone = np.cumsum(edge[:-1]) > 0
-                data, offs = batch_offsets(batch, i, j)
+                offs = every[i:j + 1] - every[i]
                 for d in range(j - i):
                     mask = gone[offs[d]:offs[d + 1]]
                     kept = part[offs[d]:offs[d + 1]][~mask].tobytes()
@@ -224,10 +267,6 @@ def _removed(length: int, keep_text: bool):
             if keep_text:
                 columns["kept_text"] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_pydict(columns)
-
-    def batch_offsets(batch, i, j):
-        data, offs = flat(batch.column("text"))
-        return data, offs[i:j + 1] - offs[i]
     return run
 
 
@@ -238,6 +277,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fals
     keyed = known.mapInArrow(_keyed(length), "key long, content long, doc long, late boolean")
     # Late rows are known to be repeats; they pass by themselves, so that a piece of very many documents gathers a row for each batch only.
     keyed = keyed.withColumn("apart", F.when(F.col("late"), F.col("doc")))
+    keyed = keyed.repartition("key", "apart").sortWithinPartitions("key", "apart", "content")  # one order serves both windows
     by_key, by_piece = Window.partitionBy("key", "apart"), Window.partitionBy("key", "apart", "content")
     seen = keyed.select("key", "content", "doc", "late", F.min("doc").over(by_piece).alias("first"), F.min("content").over(by_key).alias("c1"),
                         F.max("content").over(by_key).alias("c2"), F.count("*").over(by_key).alias("n"))

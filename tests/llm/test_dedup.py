@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shelfmark.llm import cover_sort, suffix_dedup
@@ -193,6 +194,41 @@ def test_repeats_are_brute_force(spark, many, monkeypatch):
     assert remove_repeats(frame(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [2 << 20, 300])
+def test_only_windows_that_may_repeat_are_put_in_order(block, monkeypatch):
+    sorted_suffixes, ordered = suffix_dedup.sorted_suffixes, []
+    monkeypatch.setattr(suffix_dedup, "sorted_suffixes", lambda text, at, *rest: [ordered.append(len(at)), *sorted_suffixes(text, at, *rest)][1:])
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", block)
+    r = random.Random(8)
+    rows = []
+    for key in range(12):
+        base = bytes(r.choices(range(97, 123), k=113))
+        raw = [bytes(r.choices(range(97, 123), k=r.randint(50, 113))) for _ in range(6)] + [base, base[20:90] + b"q" * 10, b"z" + base[:60]]
+        rows += [(key, k, r.randint(0, 5), x) for k, x in enumerate(raw)]
+    names = ["key", "content", "doc", "bytes"]
+    batches = [pa.RecordBatch.from_pydict(dict(zip(names, zip(*rows[k:k + 7]), strict=True))) for k in range(0, len(rows), 7)]
+    got = [x for out in suffix_dedup._compared(50)(iter([batches[0].slice(0, 0), *batches])) for x in out.to_pylist()]
+    least = {}
+    for _, _, d, x in rows:
+        for a in range(len(x) - 49):
+            least[x[a:a + 50]] = min(d, least.get(x[a:a + 50], d))
+    expected = {(k, c, a) for k, c, d, x in rows for a in range(len(x) - 49) if least[x[a:a + 50]] < d}
+    assert expected and sorted((x["key"], x["content"], a) for x in got for a in range(x["a"], x["b"])) == sorted(expected)
+    windows = [x[a:a + 50] for _, _, _, x in rows for a in range(len(x) - 49)]
+    assert sum(ordered) == sum(windows.count(w) > 1 for w in windows) < len(windows) / 2
+
+
+def test_contents_are_told_apart_by_place_and_size():
+    text = b"abcdefghijklmnop" * 6 + b"ponmlkjihgfedcba" + b"abcdefghijklmnop" * 3 + b"a" * 200
+    grams = suffix_dedup._grams(np.frombuffer(text, np.uint8))
+    spans = [(a, n) for a in range(len(text) - 113) for n in range(16, 114)]
+    hashes = suffix_dedup._contents(grams, *np.array(spans).T).tolist()
+    by_text = {}
+    for (a, n), h in zip(spans, hashes, strict=True):
+        assert by_text.setdefault(text[a:a + n], h) == h
+    assert len(set(by_text.values())) == len(by_text)
+
+
 # ---- lines ------------------------------------------------------------------------------------
 
 def brute_lines(rows):
