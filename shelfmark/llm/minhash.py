@@ -244,14 +244,15 @@ def _block_pairs(percent: int, miss: float, with_texts: bool):
 def near_duplicates(docs: DataFrame, percent: int = 85, miss: float = 1e-9) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row.  Documents are linked if 100 * common >= percent * union."""
     docs = id_text(docs)
-    signed = written(docs.mapInArrow(_signed, "doc_id long, n_shingles long, set_low long, set_high long, sig binary"), "minhash-signatures")
+    wide = written(docs.mapInArrow(_signed, "doc_id long, n_shingles long, set_low long, set_high long, sig binary"), "minhash-signatures")
     same = ["n_shingles", "set_low", "set_high"]
-    classes = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    classes = written(classes, "minhash-sets")  # a table of its own, so that a set with very many documents can be split in the join
-    members = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(classes, same)
-
-    # One row for each class; of the rows that repeat it, any serves, for their sets are equal.
-    reps = written(members.filter("doc_id = rep").select("doc_id", "sig").distinct(), "minhash-classes")
+    # One row and one signature for each class, for equal sets have equal ones: from here on it is the only table that holds signatures.
+    classes = wide.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
+    classes = written(classes, "minhash-classes")  # a table of its own, so that a set with very many documents can be split in the join
+    signed = written(wide.drop("sig"), "minhash-sets")
+    delete(wide)
+    members = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(classes.drop("sig"), same)
+    reps = classes.select(F.col("rep").alias("doc_id"), "sig")
     bands = written(reps.mapInArrow(_banded, "key long, doc long"), "minhash-bands")
     buckets = bands.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("hub"), F.bit_xor(F.xxhash64("doc")).alias("all")).filter("n > 1")
     buckets = buckets.groupBy("n", "hub", "all").agg(F.min("key").alias("key")).drop("all")  # equal buckets of several bands once
@@ -263,8 +264,6 @@ def near_duplicates(docs: DataFrame, percent: int = 85, miss: float = 1e-9) -> D
     # Equal sets are linked through the class; versions of one doc_id through their classes' representatives.
     labels = components(star.union(repeated.filter("a <> b").select("a", "b")))
     rest = _rest(docs, reps, placed, star, labels, percent, miss)
-    delete(placed)
-    delete(star)
     if not rest.isEmpty():
         tops = components(rest)
         labels = labels.withColumnRenamed("component", "label").join(tops.withColumnRenamed("node", "label"), "label", "left").select(
@@ -301,6 +300,8 @@ def _rest(docs: DataFrame, reps: DataFrame, placed: DataFrame, star: DataFrame,
     tied = star.distinct().select(F.col("a").alias("hub"), F.col("b").alias("doc"), F.lit(True).alias("tied"))
     named = placed.join(tied, ["hub", "doc"], "left").join(labels.select(F.col("node").alias("doc"), F.col("component").alias("label")), "doc", "left")
     named = written(named.select("key", "doc", F.col("tied").isNull().alias("free"), F.coalesce("label", "doc").alias("label")), "minhash-open")
+    delete(placed)
+    delete(star)
     wide = named.groupBy("key").agg(F.count_if("free").alias("free_n"), F.count_if(~F.col("free")).alias("tied_n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
     wide = wide.filter("free_n > 0 AND lo <> hi").select("key", F.ceil(F.col("free_n") / BLOCK).cast("int").alias("f"), F.ceil(F.col("tied_n") / BLOCK).cast("int").alias("t"))
     h = F.xxhash64("doc")
@@ -314,10 +315,10 @@ def _rest(docs: DataFrame, reps: DataFrame, placed: DataFrame, star: DataFrame,
 
     signs = rows.join(reps.withColumnRenamed("doc_id", "doc"), "doc").select(*_OPEN.names)
     left = written(in_order(signs).mapInArrow(_block_pairs(percent, miss, False), "key long, i int, j int, block int, doc long, label long, sig binary"), "minhash-block-pairs")
+    delete(named)
     wanted = left.select("doc").distinct()
     texts = docs.select(F.col("doc_id").alias("doc"), "text").join(wanted, "doc", "left_semi")
     links = written(in_order(left.join(texts, "doc")).mapInArrow(_block_pairs(percent, miss, True), "a long, b long"), "minhash-links")
-    delete(named)
     delete(left)
     return links
 

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -7,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from shelfmark.llm import cover_sort, suffix_dedup
+from shelfmark.llm import cover_sort, minhash, suffix_dedup
 from shelfmark.llm.components import components
 from shelfmark.llm.exact_dedup import OpenTable, exact_dedup
 from shelfmark.llm.line_dedup import dedup_lines
@@ -153,6 +154,29 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {k: 100 for k in range(100, 141)} | {k: 7 for k in range(7, 30)}
 
 
+def test_tables_of_no_more_use_are_gone_when_texts_are_joined(spark, monkeypatch):
+    r = random.Random(4)
+    base = [r.choice("abcdefgh") + str(r.randint(0, 999)) for _ in range(120)]
+    rows = [(k, " ".join(base[:60 + k % 7] + [f"w{k // 7}"] * (k // 7))) for k in range(60)] + [(60, " ".join(base[:62])), (5, "another version of five words"), (None, "x y"), (61, None)]
+    made, live = {}, {}
+    written = minhash.written
+
+    def spied(df, name, *more):
+        if name in ("minhash-hub-links", "minhash-links"):
+            live[name] = {x for x, path in made.items() if os.path.exists(path)}
+        out = written(df, name, *more)
+        made[name] = os.path.dirname(out.inputFiles()[0]).removeprefix("file:").replace("///", "/")
+        return out
+
+    monkeypatch.setattr(minhash, "written", spied)
+    got = minhash.near_duplicates(frame(spark, rows)).collect()
+    assert len(got) == len(rows) and len({x.component_id for x in got}) < len(rows)
+    assert live["minhash-hub-links"] >= {"minhash-classes"} and "minhash-bands" not in live["minhash-hub-links"]
+    for left in live.values():
+        assert "minhash-signatures" not in left and "minhash-sets" in left
+    assert not live["minhash-links"] & {"minhash-buckets", "minhash-hub-links", "minhash-open"}
+
+
 # ---- repeated strings -------------------------------------------------------------------------
 
 def test_suffix_order_bucket_by_bucket():
