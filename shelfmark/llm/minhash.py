@@ -208,28 +208,42 @@ def _hub_links(percent: int):
 
 
 _OPEN = pa.schema([("key", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("block", pa.int32()), ("doc", pa.int64()), ("label", pa.int64()), ("sig", pa.binary())])
+# Of the documents that some pair of a block pair needs: the place among them, and a bit for every place that it pairs with.
+_LEFT = pa.schema([("key", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("place", pa.int32()), ("doc", pa.int64()), ("label", pa.int64()), ("partners", pa.binary())])
+
+
+def _needed(key: tuple, rows: list[tuple], least) -> pa.RecordBatch:
+    labels = np.array([r[5] for r in rows], np.int64)
+    sigs = np.frombuffer(b"".join(r[6] for r in rows), "<u2").reshape(len(rows), -1)
+    a, b = _crossing(np.array([int(r[3] != r[1]) for r in rows]), key[1] == key[2], labels, sigs, least)
+    held = np.union1d(a, b)
+    pairs = np.zeros((len(held), len(held)), bool)
+    pairs[np.searchsorted(held, a), np.searchsorted(held, b)] = True
+    out = [(*key, place, *rows[x][4:6], bits.tobytes()) for place, (x, bits) in enumerate(zip(held.tolist(), np.packbits(pairs, axis=1), strict=True))]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(_LEFT)], schema=_LEFT)
+
+
+def _confirmed(rows: list[tuple], sets: list[np.ndarray], percent: int) -> pa.RecordBatch:
+    """Versions of a document stand at one place, each with its pairs."""
+    bits = np.unpackbits(np.frombuffer(b"".join(r[6] for r in rows), np.uint8).reshape(len(rows), -1), axis=1)
+    a, b = np.nonzero(bits[:, [r[3] for r in rows]])
+    found = _links(a, b, [r[5] for r in rows], sets, percent)
+    return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
 
 def _block_pairs(percent: int, miss: float, with_texts: bool):
     """Rows come sorted by (key, i, j), one block pair after the other.  Without texts: the rows of documents that some pair needs; with texts: links."""
-    least = least_matches(percent / 100, miss)
+    least, names = least_matches(percent / 100, miss), (_LEFT if with_texts else _OPEN).names
 
     def run(batches):
         key, rows, sets = None, [], []
 
         def done():
-            labels = np.array([r[5] for r in rows], np.int64)
-            sigs = np.frombuffer(b"".join(r[6] for r in rows), "<u2").reshape(len(rows), -1)
-            a, b = _crossing(np.array([int(r[3] != r[1]) for r in rows]), key[1] == key[2], labels, sigs, least)
-            if with_texts:
-                found = _links(a, b, labels.tolist(), sets, percent)
-                return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
-            held = [rows[x] for x in np.union1d(a, b).tolist()]
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in held], f.type) for k, f in enumerate(_OPEN)], schema=_OPEN)
+            return _confirmed(rows, sets, percent) if with_texts else _needed(key, rows, least)
 
         for batch in batches:
             every = shingle_sets(batch.column("text")) if with_texts else repeat(None, batch.num_rows)
-            for row, shingles in zip(zip(*(batch.column(f.name).to_pylist() for f in _OPEN), strict=True), every, strict=True):
+            for row, shingles in zip(zip(*(batch.column(x).to_pylist() for x in names), strict=True), every, strict=True):
                 if row[:3] != key:
                     if rows:
                         yield done()
@@ -314,7 +328,7 @@ def _rest(docs: DataFrame, reps: DataFrame, placed: DataFrame, star: DataFrame,
         return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     signs = rows.join(reps.withColumnRenamed("doc_id", "doc"), "doc").select(*_OPEN.names)
-    left = written(in_order(signs).mapInArrow(_block_pairs(percent, miss, False), "key long, i int, j int, block int, doc long, label long, sig binary"), "minhash-block-pairs")
+    left = written(in_order(signs).mapInArrow(_block_pairs(percent, miss, False), "key long, i int, j int, place int, doc long, label long, partners binary"), "minhash-block-pairs")
     delete(named)
     wanted = left.select("doc").distinct()
     texts = docs.select(F.col("doc_id").alias("doc"), "text").join(wanted, "doc", "left_semi")

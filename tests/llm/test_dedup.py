@@ -177,6 +177,22 @@ def test_tables_of_no_more_use_are_gone_when_texts_are_joined(spark, monkeypatch
     assert not live["minhash-links"] & {"minhash-buckets", "minhash-hub-links", "minhash-open"}
 
 
+def test_pairs_of_blocks_are_bits_and_versions_share_them():
+    r = np.random.default_rng(3)
+    sigs = [r.integers(0, 1 << 16, 256, dtype=np.uint16) for _ in range(3)]
+    rows = [((9, 0, 1), k % 2, 100 + k, 100 + k, sigs[k // 2 % 3].astype("<u2").tobytes()) for k in range(8)]
+    batch = pa.RecordBatch.from_pydict(dict(zip(minhash._OPEN.names, zip(*[(*key, block, doc, label, sig) for key, block, doc, label, sig in rows]), strict=True)), schema=minhash._OPEN)
+    left = [x for out in minhash._block_pairs(85, 1e-9, False)(iter([batch])) for x in out.to_pylist()]
+    assert max(len(x["partners"]) for x in left) == 1 and "sig" not in left[0]
+    pairs = {(x["doc"], y["doc"]) for x in left for y in left if x["partners"][y["place"] // 8] >> (7 - y["place"] % 8) & 1}
+    assert pairs == {(100 + a, 100 + b) for a in range(0, 8, 2) for b in range(1, 8, 2) if a // 2 % 3 == b // 2 % 3}
+    texts = {100 + k: f"text {k // 2} of one two three four" for k in range(8)}
+    given = [x | {"text": t} for x in left for t in ([texts[x["doc"]]] if x["doc"] != 107 else ["another version of that one text", texts[100]])]
+    got = {(x["a"], x["b"]) for out in minhash._block_pairs(85, 1e-9, True)(iter([pa.RecordBatch.from_pylist(given)])) for x in out.to_pylist()}
+    joined = {frozenset(x) for x in got}
+    assert joined == {frozenset(x) for x in ((100, 101), (102, 103), (104, 105), (100, 107))}
+
+
 # ---- repeated strings -------------------------------------------------------------------------
 
 def test_suffix_order_bucket_by_bucket():
