@@ -44,3 +44,18 @@ def test_one_exchange_by_page(spark):
     df = spark.createDataFrame([(1, "<p>")], "n int, html string")
     plan = N.product_nodes(df, ["n"], TABLE)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_a_page_is_asked_only_what_it_can_answer_and_once(monkeypatch):
+    from shelfmark.operators import shred
+    asked = []
+    find = shred.Path._find
+    monkeypatch.setattr(shred.Path, "_find", lambda self, page, root: asked.append((self.selector, root)) or find(self, page, root))
+    rules = {"low": ".price .amount::text, .none::text", "all": ".price .amount::text, .price b::text", "none": "h4 + h5::deep, #x p::html",
+             "rows": Groups("tr", {"cells": Groups("td", {"chunks": "*::deep"}), "none": "th::text"})}
+    reader = shred.Reader({k: v if isinstance(v, Groups) else shred.Values(v) for k, v in rules.items()})
+    html = '<p class="price"><i class="amount">1<b>2</b>3</i></p><table><tr><td>a<b>b</b>c<td>d</table>'
+    rows = [{"cells": [{"chunks": ["a", "b", "c"]}, {"chunks": ["d"]}], "none": []}]
+    assert reader(html) == {"low": ["1", "3"], "all": ["1", "2", "3"], "none": [], "rows": rows}
+    assert {s for s, _ in asked} == {".price .amount", ".price b", "tr", "td", "*"} and len(asked) == len(set(asked))
+    assert reader("") == {"low": [], "all": [], "none": [], "rows": []}
