@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import LongType, StructField, StructType
 
 from shelfmark import schemas
@@ -17,6 +17,7 @@ from shelfmark.operators.quality import dedupe_by_url, validate
 from shelfmark.operators.records import _with_series, listing_of, told_by_listing
 from shelfmark.plans.jobs import load
 from shelfmark.profiles import PROFILES, SourceProfile
+from shelfmark.streaming.java import new_instance
 
 
 def page_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -39,45 +40,17 @@ def record_stream(pages: DataFrame, profiles: list[SourceProfile] = PROFILES) ->
     return validate(out)
 
 
-class FirstArrival(StatefulProcessor):
-    """Per (run, source, url): of the micro-batch that brings the url first, the record with the lowest (seq, ord); later ones are dropped.
-
-    State is the time of the last sighting.  With a delay, a url is forgotten once the watermark is that far past it, by a timer, or at once
-    when a later record meets state whose time is up.
-    """
-
-    def __init__(self, columns: list[str], delay_ms: int | None):
-        self.columns, self.delay = columns, delay_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState("seen", "at long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        best, latest = None, None
-        for r in rows:  # a stream: a url that half of a batch shares is held as one row
-            rank = (r["__seq"], r["__ord"])
-            if best is None or rank < best[0]:
-                best = (rank, r)
-            latest = r["__at"] if latest is None else max(latest, r["__at"])
-        before = self.seen.get()[0] if self.seen.exists() else None
-        if before is not None and self.delay is not None:
-            self.handle.deleteTimer(before + self.delay)
-            if before + self.delay <= timerValues.getCurrentWatermarkInMs():
-                before = None
-        at = latest if before is None else max(before, latest)
-        self.seen.update((at,))
-        if self.delay is not None:
-            self.handle.registerTimer(at + self.delay)
-        if before is None and best is not None:
-            yield Row(**{c: best[1][c] for c in self.columns})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.seen.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
+def _first_arrivals(ranked: DataFrame, record: StructType, keys: list[str], delay_ms: int | None) -> DataFrame:
+    """The records that ``FirstArrival.java`` lets through; it gets them with their rank and time as three more columns."""
+    spark, row = ranked.sparkSession, ranked.sparkSession._jvm.org.apache.spark.sql.Encoders.row
+    kind = lambda fields: row(spark._jsparkSession.parseDataType(StructType(fields).json()))
+    processor = new_instance(spark, "FirstArrival").of(len(record), -1 if delay_ms is None else delay_ms)
+    streaming = spark._jvm.org.apache.spark.sql.streaming
+    mode = getattr(streaming.TimeMode, "None" if delay_ms is None else "EventTime")()
+    grouped = ranked.groupBy(*keys)._jgd
+    grouped = getattr(grouped, "as")(kind([record[k] for k in keys]), kind(ranked.schema.fields))
+    told = grouped.transformWithState(processor, mode, streaming.OutputMode.Append(), kind(record.fields))
+    return DataFrame(told.toDF(), spark)
 
 
 def dedupe_stream(records: DataFrame, delay: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -93,8 +66,7 @@ def dedupe_stream(records: DataFrame, delay: str | None = None) -> tuple[DataFra
     if delay is not None:
         with_url = with_url.withWatermark("fetched_at", delay)
     ranked = with_url.withColumns({"__seq": number("seq", 1 << 62), "__ord": number("ord", 0), "__at": F.coalesce(F.unix_millis("fetched_at"), F.lit(0))})
-    processor = FirstArrival(records.columns, None if delay is None else int(pd.Timedelta(delay).total_seconds() * 1000))
-    firsts = ranked.groupBy("run_id", "source", "url").transformWithState(processor, records.schema, "Append", "None" if delay is None else "EventTime")
+    firsts = _first_arrivals(ranked, records.schema, ["run_id", "source", "url"], None if delay is None else int(pd.Timedelta(delay).total_seconds() * 1000))
     return firsts, without
 
 

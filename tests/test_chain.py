@@ -94,3 +94,17 @@ def test_state_is_forgotten_by_fetch_time(spark, tmp_path):
     held = {x.key.url: x.value["at"] for x in state.select("key", "value").collect()}
     # A last run without rows moves the watermark to day 26: nothing seen from day 30 on is gone.
     assert held.keys() == {"a", "b", "z"} and set(held.values()) == {int(spark.range(1).select(F.unix_millis(F.lit(DAY(31)))).first()[0])}
+
+
+def test_timers_move_on_and_python_has_no_part_in_state(spark, tmp_path):
+    row = lambda url, seq, day: ("r", "s", url, seq, 0, DAY(day), None, None)
+    parts = [[row("a", 1, 0), row("z", 2, 8)],      # the watermark goes to day 3; a's timer stands at day 5
+             [row("a", 3, 6), row("z", 4, 12)],     # to day 7: the timer finds a seen on day 6 and moves to day 11
+             [row("a", 5, 10), row("z", 6, 17)],    # to day 12: it moves to day 15
+             [row("a", 7, 14), row("z", 8, 30)],    # to day 25: a is forgotten
+             [row("a", 9, 31), row("z", 10, 31)]]
+    got = [[x.split("seq=")[1].split(",")[0] for x in lot] for lot in stream(spark, tmp_path, parts, "5 days")]
+    assert [sorted(x) for x in got] == [["1", "2"], [], [], [], ["9"]]
+    firsts, _ = ingest.dedupe_stream(spark.readStream.schema(ROW).parquet(f"{tmp_path}/in"), "5 days")
+    plan = firsts._jdf.queryExecution().logical().toString()
+    assert "TransformWithState" in plan and "PySpark" not in plan
